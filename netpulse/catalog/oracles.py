@@ -300,7 +300,7 @@ _oracle("high_risk_cells", f"""SELECT cell_id, site_id, region, count(*) AS obse
     FROM gold GROUP BY ALL HAVING count(*) >= 100
     ORDER BY historical_failure_rate_pct DESC, failures DESC, cell_id, site_id, region LIMIT 20""")
 _oracle("hourly_demand", f"""SELECT date_trunc('hour', timestamp) AS hour_timestamp,
-    {_avgs(traffic_load_pct=7, connected_users=7, throughput_mbps=7, latency_ms=7, packet_loss_pct=7)},
+    {_avgs(traffic_load_pct=8, connected_users=8, throughput_mbps=8, latency_ms=8, packet_loss_pct=8)},
     CAST(sum(failure_event) AS BIGINT) AS failure_events, count(DISTINCT cell_id) AS active_cells FROM silver GROUP BY 1""")
 _oracle("anomaly_totals", """SELECT count(*) AS total_records, CAST(sum(is_anomaly) AS BIGINT) AS total_anomalies,
     CAST(sum(is_anomaly) AS DOUBLE) / count(*) * 100 AS anomaly_rate_pct FROM anomalies""")

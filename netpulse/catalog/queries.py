@@ -61,8 +61,7 @@ QUERIES["quality_funnel"] = _over(I.raw, quality.quality_funnel)
 
 @query("kpi_summary")
 def _kpi_summary(spark, sf_dir):
-    summary = quality.kpi_summary(I.raw(spark, sf_dir), accuracy=1_000_000)
-    return _rounded(summary, 6, "mean", "stddev")
+    return _rounded(quality.kpi_summary(I.raw(spark, sf_dir)), 6, "mean", "stddev")
 
 
 @query("head")
@@ -233,7 +232,7 @@ QUERIES["top_anomalies"] = _over(I.anomalies, reports.top_anomalies)
 @query("hourly_demand")
 def _hourly_demand(spark, sf_dir):
     averages = ["traffic_load_pct", "connected_users", "throughput_mbps", "latency_ms", "packet_loss_pct"]
-    return _rounded(reports.hourly_demand(I.silver(spark, sf_dir)), 7, *[f"avg_{name}" for name in averages])
+    return _rounded(reports.hourly_demand(I.silver(spark, sf_dir)), 8, *[f"avg_{name}" for name in averages])
 
 
 # ---- targets, split, balance ---------------------------------------------------

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from netpulse import fixed
 from netpulse import functions as fn
 from netpulse.operators.cleaning import complete_rows
-from netpulse.operators.ordering import order_statistics
+from netpulse.operators.ordering import exact_percentiles
 
 EULER_GAMMA = 0.5772156649015329
 TREE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, path double"
@@ -158,9 +158,13 @@ def minmax_score(df: DataFrame, column: str = "raw_score", name: str = "anomaly_
 def flag_anomalies(
     df: DataFrame, c: float = fixed.CONTAMINATION, column: str = "raw_score", name: str = "is_anomaly"
 ) -> DataFrame:
-    """1 strictly above the exact (1 - c) percentile of the scores."""
-    threshold = order_statistics(df, column, [1.0 - c])[1.0 - c]
-    return df.withColumn(name, fn.flag(F.col(column) > F.lit(threshold)))
+    """1 strictly above the exact (1 - c) percentile of the scores.
+
+    Only the threshold reaches the driver: pass a stored frame.
+    """
+    found = exact_percentiles(df, [column], [1.0 - c], interpolate=True).first()
+    threshold = F.lit(found["values"][0] if found else None).cast("double")
+    return df.withColumn(name, fn.flag(F.col(column) > threshold))
 
 
 def anomaly_results(scored: DataFrame, c: float = fixed.CONTAMINATION) -> DataFrame:

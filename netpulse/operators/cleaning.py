@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from netpulse import fixed
 from netpulse import functions as fn
-
-PERCENTILE_ACCURACY = 10_000
+from netpulse.operators.ordering import exact_percentiles
+from netpulse.session import stage
 
 
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:
@@ -47,26 +47,36 @@ def _present(df: DataFrame, column: str) -> Column:
     return F.col(column)
 
 
-def medians(df: DataFrame, columns: list[str], accuracy: int = PERCENTILE_ACCURACY) -> DataFrame:
-    """One row of medians from one pass.
+def medians(df: DataFrame, columns: list[str], accuracy: int | None = None) -> DataFrame:
+    """One row of medians: observed values, NULL for a column without any.
 
-    An observed value whose rank is off by at most ``n / accuracy``; the sketch
-    merges map-side, so no column is ever gathered in one place.
+    Exact by default.  With ``accuracy`` the rank may be off by ``n / accuracy``
+    and one pass of mergeable sketches replaces three counting passes.
     """
-    return df.agg(*[
-        F.percentile_approx(_present(df, name), F.lit(0.5), F.lit(accuracy)).alias(name) for name in columns
+    if accuracy is not None:
+        return df.agg(*[
+            F.percentile_approx(_present(df, name), F.lit(0.5), F.lit(accuracy)).alias(name) for name in columns
+        ])
+    found = exact_percentiles(df, columns, [0.5])
+    return found.agg(*[
+        F.max(F.when(F.col("column") == name, F.col("values")[0])).cast(df.schema[name].dataType).alias(name)
+        for name in columns
     ])
 
 
-def impute_median(
-    df: DataFrame, columns: list[str] | None = None, accuracy: int = PERCENTILE_ACCURACY
-) -> DataFrame:
-    """Fill missing values of each existing column with that column's median."""
+def impute_median(df: DataFrame, columns: list[str] | None = None, accuracy: int | None = None) -> DataFrame:
+    """Fill missing values of each existing column with that column's median.
+
+    The medians are computed first (one row reaches the driver) and enter the
+    plan as constants: pass a stored frame, or its lineage runs twice.
+    """
     columns = existing(df, fixed.IMPUTED_COLUMNS if columns is None else columns)
     if not columns:
         return df
-    row = medians(df, columns, accuracy).select(F.struct(*columns).alias("median")).scalar()
-    return df.withColumns({name: F.coalesce(_present(df, name), row.getField(name)) for name in columns})
+    median = medians(df, columns, accuracy).first()
+    return df.withColumns({
+        name: F.coalesce(_present(df, name), F.lit(median[name]).cast(df.schema[name].dataType)) for name in columns
+    })
 
 
 def add_features(df: DataFrame) -> DataFrame:
@@ -85,8 +95,12 @@ def add_features(df: DataFrame) -> DataFrame:
 
 
 def clean(raw: DataFrame) -> DataFrame:
-    """Silver layer as one lazy plan."""
-    return add_features(impute_median(valid_rows(raw)))
+    """Silver layer.
+
+    The deduplicated valid rows are staged: the medians then read a few narrow
+    columns of them, and the one wide shuffle is not repeated.
+    """
+    return add_features(impute_median(stage(valid_rows(raw), "valid")))
 
 
 def build_gold(silver: DataFrame) -> DataFrame:

@@ -29,12 +29,10 @@ def fit_scaler(train: DataFrame, features: list[str]) -> DataFrame:
     return row.withColumn("std", F.when(F.col("std") == 0, 1.0).otherwise(F.col("std")))
 
 
-def apply_scaler(df: DataFrame, scaler: DataFrame, features: list[str]) -> DataFrame:
-    """Standardise with fitted statistics, which are one small row."""
-    fitted = scaler.agg(F.map_from_entries(F.collect_list(F.struct("feature", F.struct("mean", "std"))))).scalar()
-    return df.withColumns({
-        name: (F.col(name) - fitted[name].getField("mean")) / fitted[name].getField("std") for name in features
-    })
+def apply_scaler(df: DataFrame, scaler: DataFrame) -> DataFrame:
+    """Standardise with fitted statistics (one row per feature)."""
+    fitted = {row["feature"]: (row["mean"], row["std"]) for row in scaler.collect()}
+    return df.withColumns({name: (F.col(name) - mean) / std for name, (mean, std) in fitted.items()})
 
 
 def class_weights(train: DataFrame, label: str = TARGET) -> DataFrame:

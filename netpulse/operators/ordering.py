@@ -7,17 +7,13 @@ aggregations whose results are bounded, whatever the data size or skew.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from netpulse.session import stage
 
 SLICE, OFFSET = "__slice", "__offset"
 
-# Distinct values one sorted group may hold before the bracket is narrowed again.
-BRACKET_VALUES = 1_000_000
-SKETCH_ACCURACY = 10_000
+BINS_PER_E = 1000  # value bins per factor e
 
 
 def stage_in_order(df: DataFrame, *order: Column) -> DataFrame:
@@ -125,53 +121,72 @@ def first_rows(df: DataFrame, n: int, ts: str, ties: list[str]) -> Column:
     raise ValueError(f"rows equal in {[ts, *ties]} straddle the cut; add a tie column")
 
 
-def order_statistics(df: DataFrame, column: str, fractions: list[float]) -> dict[float, float]:
-    """Exact percentiles with linear interpolation between neighbours.
+def _bin(value: Column) -> Column:
+    """Monotone integer bins of constant relative width, so no extremes need to be known first."""
+    size = F.floor(F.least(F.log(F.abs(value)), F.lit(750.0)) * BINS_PER_E) + 800 * BINS_PER_E
+    return F.when(value == 0, F.lit(0)).otherwise(F.signum(value) * size).cast("bigint")
+
+
+def _melted(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(place of the column, bin, value), missing values left out."""
+    cells = [F.struct(F.lit(i).alias("k"), F.col(name).cast("double").alias("v")) for i, name in enumerate(columns)]
+    present = df.select(F.inline(F.array(*cells))).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    return present.select("k", _bin(F.col("v")).alias("bin"), "v")
+
+
+def _ranks(fraction: float, n: Column, interpolate: bool) -> list[Column]:
+    """1-based ranks whose values make up a percentile: one, or two neighbours."""
+    if not interpolate:
+        return [F.greatest(F.ceil(F.lit(fraction) * n), F.lit(1)).cast("bigint")]
+    lower = (F.floor(F.lit(fraction) * (n - 1)) + 1).cast("bigint")
+    return [lower, F.least(lower + 1, n)]
 
-    A quantile sketch brackets the wanted ranks; only distinct values inside
-    the bracket are sorted, and a bracket that still holds too many is
-    narrowed again.  Runs a few small jobs over one column.
+
+def exact_percentiles(
+    df: DataFrame, columns: list[str], fractions: list[float], interpolate: bool = False
+) -> DataFrame:
+    """Exact percentiles of several columns: one row per column, (column, n, values).
+
+    Without interpolation a percentile is the smallest value whose cumulative
+    share reaches the fraction; with it, linear between neighbouring ranks.
+    NULL and NaN are left out; a column without values has no row.
+
+    Two lazy passes, neither of which gathers a column anywhere: counts per
+    bin, then counts per distinct value of just the bins that hold a wanted
+    rank.  Both combine map-side, and only bins, or the distinct values of one
+    bin, are ever sorted together.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).dropna()
-    total = values.count()
-    if total == 0:
-        return {fraction: None for fraction in fractions}
-    result = {}
-    for fraction in fractions:
-        position = fraction * (total - 1)
-        low, share = math.floor(position), position - math.floor(position)
-        pair = _values_at(values, total, low, min(low + 1, total - 1))
-        result[fraction] = pair[0] + (pair[1] - pair[0]) * share
-    return result
-
-
-def _values_at(values: DataFrame, total: int, first: int, second: int) -> tuple[float, float]:
-    """Values at two neighbouring 0-based ranks."""
-    inside, count, before = values, total, 0
-    while count > BRACKET_VALUES:
-        margin = 3.0 / SKETCH_ACCURACY
-        edges = inside.agg(F.percentile_approx(
-            "v",
-            F.array(
-                F.lit(max(0.0, (first - before) / count - margin)),
-                F.lit(min(1.0, (second - before + 1) / count + margin)),
-            ),
-            F.lit(SKETCH_ACCURACY),
-        ).alias("edges")).first()["edges"]
-        bracket = F.col("v").between(edges[0], edges[1])
-        below, held, distinct = inside.agg(
-            F.count(F.when(F.col("v") < edges[0], 1)),
-            F.count(F.when(bracket, 1)),
-            F.approx_count_distinct(F.when(bracket, F.col("v"))),
-        ).first()
-        inside, before = inside.filter(bracket), before + below
-        narrowed, count = held < count, held
-        if distinct <= BRACKET_VALUES or not narrowed:
-            break
-    upto = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = inside.groupBy("v").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", F.sum("n").over(upto))
-    row = ranked.agg(
-        F.min(F.when(F.col("upto") > first - before, F.col("v"))),
-        F.min(F.when(F.col("upto") > second - before, F.col("v"))),
-    ).first()
-    return row[0], row[1]
+    values = _melted(df, columns)
+    upto = Window.partitionBy("k").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    counted = values.groupBy("k", "bin").agg(F.count(F.lit(1)).alias("held")).withColumns({
+        "upto": F.sum("held").over(upto), "n": F.sum("held").over(Window.partitionBy("k")),
+    })
+    ranks = [rank for fraction in fractions for rank in _ranks(fraction, F.col("n"), interpolate)]
+    # One row per column: n, and for every rank its bin and the rank inside that bin.
+    targets = counted.groupBy("k", "n").agg(*[
+        F.min(F.when(F.col("upto") >= rank, F.struct(
+            "bin", (rank - F.col("upto") + F.col("held")).alias("rank")
+        ))).alias(f"at{i}") for i, rank in enumerate(ranks)
+    ])
+    places = [F.col(f"at{i}.bin") for i in range(len(ranks))]
+    inside = values.join(F.broadcast(targets), "k").filter(F.col("bin").isin(*places))
+    so_far = Window.partitionBy("k", "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = inside.groupBy("k", "bin", "v").agg(F.count(F.lit(1)).alias("held")).withColumn(
+        "upto", F.sum("held").over(so_far)
+    )
+    found = ranked.join(F.broadcast(targets), "k").groupBy("k", "n").agg(*[
+        F.min(F.when((F.col("bin") == place) & (F.col("upto") >= F.col(f"at{i}.rank")), F.col("v"))).alias(f"v{i}")
+        for i, place in enumerate(places)
+    ])
+
+    def percentile(i: int, fraction: float) -> Column:
+        if not interpolate:
+            return F.col(f"v{i}")
+        first, second = F.col(f"v{2 * i}"), F.col(f"v{2 * i + 1}")
+        position = F.lit(fraction) * (F.col("n") - 1)
+        return first + (second - first) * (position - F.floor(position))
+
+    return found.select(
+        F.get(F.array(*[F.lit(name) for name in columns]), F.col("k")).alias("column"), "n",
+        F.array(*[percentile(i, fraction) for i, fraction in enumerate(fractions)]).alias("values"),
+    )

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from netpulse import fixed
 from netpulse import functions as fn
 from netpulse.operators import cleaning
+from netpulse.operators.ordering import exact_percentiles
 
 
 def require(condition: bool, message: str) -> None:
@@ -92,30 +93,23 @@ def entity_profile(df: DataFrame) -> DataFrame:
     return pairs.agg(plus_missing("cell_id").alias("unique_cells"), plus_missing("site_id").alias("unique_sites"))
 
 
-def kpi_summary(
-    df: DataFrame, columns: list[str] | None = None, accuracy: int = cleaning.PERCENTILE_ACCURACY
-) -> DataFrame:
-    """Count, mean, deviation, extremes and quartiles: one row per existing KPI, one pass."""
+def kpi_summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Count, mean, deviation, extremes and exact quartiles: one row per existing KPI."""
     columns = cleaning.existing(df, fixed.KPI_COLUMNS if columns is None else columns)
-    quartiles = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
 
-    def summary(name: str) -> Column:
+    def moments(name: str) -> Column:
         value = F.col(name).cast("double")
         return F.struct(
-            F.lit(name).alias("kpi"),
-            F.count(value).alias("count"),
-            F.avg(value).alias("mean"),
-            F.stddev_samp(value).alias("stddev"),
-            F.min(value).alias("min"),
-            F.percentile_approx(value, quartiles, F.lit(accuracy)).alias("quartiles"),
-            F.max(value).alias("max"),
+            F.lit(name).alias("kpi"), F.count(value).alias("count"), F.avg(value).alias("mean"),
+            F.stddev_samp(value).alias("stddev"), F.min(value).alias("min"), F.max(value).alias("max"),
         )
 
-    rows = df.agg(F.array(*[summary(name) for name in columns]).alias("kpis")).select(F.inline("kpis"))
-    return rows.select(
-        "kpi", "count", "mean", "stddev", "min",
-        F.col("quartiles")[0].alias("p25"), F.col("quartiles")[1].alias("p50"),
-        F.col("quartiles")[2].alias("p75"), "max",
+    rows = df.agg(F.array(*[moments(name) for name in columns]).alias("kpis")).select(F.inline("kpis"))
+    quartiles = exact_percentiles(df, columns, [0.25, 0.5, 0.75]).select(
+        F.col("column").alias("kpi"), *[F.col("values")[i].alias(name) for i, name in enumerate(["p25", "p50", "p75"])]
+    )
+    return rows.join(F.broadcast(quartiles), "kpi", "left").select(
+        "kpi", "count", "mean", "stddev", "min", "p25", "p50", "p75", "max"
     )
 
 

@@ -35,14 +35,9 @@ TRACKED_RUN = "boosted_trees_30min_failure"
 
 
 def build_silver(raw: DataFrame, names: Names = Names(), partition_by: list[str] | None = None) -> DataFrame:
-    """Clean, save and verify; returns the one-row quality report.
-
-    Deduplication is the only wide shuffle; its result is staged so that the
-    medians read five narrow columns instead of shuffling the raw rows again.
-    """
+    """Clean, save and verify; returns the one-row quality report."""
     spark = raw.sparkSession
-    silver = cleaning.add_features(cleaning.impute_median(stage(cleaning.valid_rows(raw), "valid")))
-    layers.write_layer(silver, names.silver, partition_by=partition_by)
+    layers.write_layer(cleaning.clean(raw), names.silver, partition_by=partition_by)
     saved = layers.read_layer(spark, names.silver)
     return quality.quality_gate(saved, saved.count())
 

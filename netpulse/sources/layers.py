@@ -49,13 +49,17 @@ def write_layer(df: DataFrame, name: str, replace_schema: bool = True, partition
     """Overwrite a managed table.
 
     With ``replace_schema=False`` an existing table keeps its columns: a frame
-    with other columns is refused instead of replacing them.
+    with other columns is refused instead of replacing them.  Partitioned
+    writes are rebalanced first: busy partitions are split over several tasks
+    and quiet ones share one, so neither stragglers nor tiny files appear.
     """
     spark = df.sparkSession
     if not replace_schema and spark.catalog.tableExists(name):
         kept = [(f.name, f.dataType) for f in spark.table(name).schema]
         offered = [(f.name, f.dataType) for f in df.schema]
         require(kept == offered, f"{name} keeps its schema {kept}; got {offered}")
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.format(table_format(spark)).mode("overwrite")
     if replace_schema:
         writer = writer.option("overwriteSchema", "true")
