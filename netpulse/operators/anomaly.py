@@ -75,22 +75,28 @@ def fit_isolation_forest(
     df: DataFrame, feats: list[str] | None = None, trees: int = fixed.ISOLATION_TREES,
     sample: int = fixed.ISOLATION_SAMPLE, seed: int = fixed.SEED,
 ) -> DataFrame:
-    """Node table of ``trees`` isolation trees, each grown on up to ``sample`` rows drawn without replacement.
+    """Node table of ``trees`` isolation trees, each grown on ``sample`` rows drawn without replacement.
 
-    The trees draw from a pool of at most four times the rows they need, then
-    each keeps its lowest draws: a group never holds more than ``sample`` rows.
+    A bounded pool is shuffled and dealt to the trees; a pool too small for all
+    of them is shuffled again for each further set of trees.  No group holds
+    more than ``sample`` rows, and no task more than ``trees * sample``.
     """
     feats = list(feats or fixed.ANOMALY_FEATURES)
     inputs = complete_rows(df, feats).select(*[F.col(c).cast("double").alias(c) for c in feats])
-    pool = sample_cap(inputs, 4 * trees * sample, seed)
-    size = pool.agg(F.count(F.lit(1))).scalar()
+    pool_size = min(inputs.count(), trees * sample)
+    at_once = max(1, pool_size // sample)
+    deals = math.ceil(trees / at_once)
     drawn = (
-        pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+        sample_cap(inputs, trees * sample, seed)
+        .withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(deals - 1))))
         .withColumn("draw", F.rand(seed + 1))
-        .filter(F.col("draw") * size < F.lit(_spare(sample)))
-        .withColumn("place", F.row_number().over(Window.partitionBy("tree").orderBy("draw")))
-        .filter(F.col("place") <= sample)
+        .withColumn("place", F.row_number().over(Window.partitionBy("deal").orderBy("draw")) - 1)
+        .filter(F.col("place") < at_once * sample)
+        .withColumn("tree", F.col("deal") * at_once + F.col("place") % at_once)
+        .filter(F.col("tree") < trees)
         .select("tree", *feats)
+        # Little data but real work per tree: keep adaptive execution from merging the groups.
+        .repartition(min(trees, df.sparkSession.sparkContext.defaultParallelism), "tree")
     )
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:

@@ -9,9 +9,9 @@ once for every in/out pattern, and a row costs one table lookup per leaf.
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -44,23 +44,28 @@ def tree_nodes(model: PipelineModel) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=None)
+def _subsets(d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For d features: membership [subset, feature], containment [pattern, subset], Shapley weight [subset]."""
+    sets = np.arange(1 << d)
+    member = ((sets[:, None] >> np.arange(d)) & 1).astype(bool)
+    contained = (sets[None, :] & ~sets[:, None]) == 0
+    size = np.minimum(member.sum(axis=1), d - 1)  # the full set is never used
+    weight = np.array([math.factorial(s) * math.factorial(d - s - 1) / math.factorial(d) for s in size])
+    return member, contained, weight
+
+
 def _shapley_table(value: float, ratios: np.ndarray) -> np.ndarray:
-    """Attributions [pattern, feature] of one leaf; bit k of a pattern: feature k is inside."""
+    """Attributions [pattern, feature] of one leaf; bit k of a pattern: feature k is inside.
+
+    A known feature contributes 1 when inside and nothing when outside, an
+    unknown one its cover ratio; so only subsets contained in the pattern count.
+    """
     d = len(ratios)
-    inside = (np.arange(1 << d)[:, None] >> np.arange(d)) & 1
-    table = np.zeros((1 << d, d))
-    for k in range(d):
-        others = [j for j in range(d) if j != k]
-        total = np.zeros(1 << d)
-        for size in range(d):
-            share = math.factorial(size) * math.factorial(d - size - 1) / math.factorial(d)
-            for known in itertools.combinations(others, size):
-                term = np.full(1 << d, share)
-                for j in others:
-                    term = term * (inside[:, j] if j in known else ratios[j])
-                total += term
-        table[:, k] = value * (inside[:, k] - ratios[k]) * total
-    return table
+    member, contained, weight = _subsets(d)
+    unknown = np.where(member[:, None, :] | np.eye(d, dtype=bool)[None, :, :], 1.0, ratios)
+    share = np.where(member, 0.0, weight[:, None] * unknown.prod(axis=2))  # [subset, explained feature]
+    return value * (member - ratios) * (contained @ share)
 
 
 def _leaf_tables(nodes: pd.DataFrame) -> tuple[float, list[tuple]]:
