@@ -19,6 +19,7 @@ from netpulse import fixed
 from netpulse import functions as fn
 from netpulse.operators.cleaning import complete_rows
 from netpulse.operators.ordering import exact_percentiles
+from netpulse.session import ship_package
 
 EULER_GAMMA = 0.5772156649015329
 TREE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, path double"
@@ -82,6 +83,7 @@ def fit_isolation_forest(
     more than ``sample`` rows, and no task more than ``trees * sample``.
     """
     feats = list(feats or fixed.ANOMALY_FEATURES)
+    ship_package(df.sparkSession)
     inputs = complete_rows(df, feats).select(*[F.col(c).cast("double").alias(c) for c in feats])
     pool_size = min(inputs.count(), trees * sample)
     at_once = max(1, pool_size // sample)
@@ -128,6 +130,7 @@ def score_isolation_forest(
     """Add ``2 ** (-mean path / c(sample))`` to every row; no row is left out."""
     feats = list(feats or fixed.ANOMALY_FEATURES)
     spark = df.sparkSession
+    ship_package(spark)
     shared = spark.sparkContext.broadcast(_as_arrays(forest))
     norm = float(average_path(sample))
 

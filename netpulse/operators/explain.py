@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from netpulse.operators.cleaning import arg_max
 from netpulse.operators.models import feature_names, rank_importance
-from netpulse.session import staging_path
+from netpulse.session import ship_package, staging_path
 
 PREFIX = "shap_"
 BASE = "shap_base"
@@ -104,6 +104,7 @@ def tree_shap(model: PipelineModel, df: DataFrame) -> DataFrame:
     are explained where they are.
     """
     features = feature_names(model)
+    ship_package(df.sparkSession)
     # Bounded by the model's size: trees * 2 ** (depth + 1) nodes.
     base, leaves = _leaf_tables(tree_nodes(model).toPandas())
     shared = df.sparkSession.sparkContext.broadcast(leaves)

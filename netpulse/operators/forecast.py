@@ -16,6 +16,7 @@ from netpulse import fixed
 from netpulse import functions as fn
 from netpulse.operators.quality import require
 from netpulse.operators.reports import hourly_demand
+from netpulse.session import ship_package
 
 NETWORK = "network"
 CHANGEPOINTS, CHANGEPOINT_RANGE = 25, 0.8
@@ -88,6 +89,7 @@ def _fit_and_predict(points: pd.DataFrame) -> pd.DataFrame:
 
 def fit_forecast(points: DataFrame) -> DataFrame:
     """(series, ds, yhat, bounds) for the rows whose ``fit`` is false, learnt from the others."""
+    ship_package(points.sparkSession)
     schema = T.StructType([
         T.StructField("series", T.StringType()),
         T.StructField("ds", points.schema["ds"].dataType, False),

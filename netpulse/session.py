@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +30,29 @@ def build_session(app: str = "netpulse", master: str | None = None, **extra: str
 
 
 _local_areas: dict[str, str] = {}
+_staged: list[str] = []
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the executors' Python workers.
+
+    Called by the operators that run Python on executors, so that it does not
+    matter where the driver was started or whether the package is installed.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="netpulse-"), "netpulse.zip")
+    with zipfile.ZipFile(archive, "w") as target:
+        for folder, _, files in os.walk(package):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    target.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -69,4 +94,15 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = staging_path(spark, label)
     df.write.mode("errorifexists").parquet(path)
+    _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release_staged(spark: SparkSession) -> int:
+    """Delete what this process has staged; frames read from it must no longer be used."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    released = 0
+    while _staged:
+        path = hadoop.Path(_staged.pop())
+        released += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return released
