@@ -22,7 +22,7 @@ from netpulse.operators.ordering import exact_percentiles
 from netpulse.session import ship_package
 
 EULER_GAMMA = 0.5772156649015329
-TREE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, path double"
+TREE_SCHEMA = "tree int, sample int, node int, feature int, threshold double, left int, right int, path double"
 
 
 def _spare(rows: int) -> float:
@@ -50,6 +50,11 @@ def average_path(n):
     return np.where(n > 2, depth, np.where(n == 2, 1.0, 0.0))
 
 
+def _height(sample: int) -> int:
+    """Depth limit of a tree: the mean depth of a balanced one."""
+    return max(1, math.ceil(math.log2(max(sample, 2))))
+
+
 def _grow(points: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple]:
     """Nodes (id, feature, threshold, left, right, path) of one tree; feature -1 is a leaf."""
     nodes: list[tuple] = []
@@ -105,53 +110,65 @@ def fit_isolation_forest(
         tree = int(group["tree"].iloc[0])
         points = group[feats].to_numpy(dtype=float)
         points = points[np.lexsort(points.T)]  # rows arrive in any order
-        limit = max(1, math.ceil(math.log2(max(len(points), 2))))
-        nodes = _grow(points, np.random.default_rng([seed, tree]), limit)
+        nodes = _grow(points, np.random.default_rng([seed, tree]), _height(len(points)))
         table = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "left", "right", "path"])
+        table.insert(0, "sample", len(points))
         table.insert(0, "tree", tree)
         return table
 
     return drawn.groupBy("tree").applyInPandas(grow, TREE_SCHEMA)
 
 
-def _as_arrays(forest: DataFrame) -> list[dict[str, np.ndarray]]:
-    """The forest on the driver: at most ``trees * 2 * sample`` nodes, whatever the data size."""
-    table = forest.toPandas()
-    return [
-        {name: part[name].to_numpy() for name in ("feature", "threshold", "left", "right", "path")}
-        for _, part in table.sort_values(["tree", "node"]).groupby("tree")
-    ]
+def _as_arrays(nodes: pd.DataFrame) -> list[tuple[np.ndarray, ...]]:
+    """Per tree (feature, threshold, children, path), children as [left, right] of each node in turn.
+
+    Leaves lead to themselves, so every row takes the same number of steps.
+    """
+    trees = []
+    for _, part in nodes.sort_values(["tree", "node"]).groupby("tree"):
+        own, leaf = part["node"].to_numpy(), part["feature"].to_numpy() < 0
+        children = np.stack([np.where(leaf, own, part[side].to_numpy()) for side in ("left", "right")], axis=1)
+        trees.append((
+            np.where(leaf, 0, part["feature"].to_numpy()).astype(np.int64), part["threshold"].to_numpy(),
+            children.ravel().astype(np.int64), part["path"].to_numpy(),
+        ))
+    return trees
+
+
+def _mean_path(points: np.ndarray, trees: list[tuple[np.ndarray, ...]], steps: int) -> np.ndarray:
+    """Mean path length of each row (features in the columns of ``points``)."""
+    n = len(points)
+    flat, rows = np.ascontiguousarray(points.T).ravel(), np.arange(n)
+    total = np.zeros(n)
+    for feature, threshold, children, path in trees:
+        node = np.zeros(n, dtype=np.int64)
+        for _ in range(steps):
+            right = flat.take(feature.take(node) * n + rows) > threshold.take(node)
+            node = children.take(2 * node + right)
+        total += path.take(node)
+    return total / max(len(trees), 1)
 
 
 def score_isolation_forest(
-    forest: DataFrame, df: DataFrame, feats: list[str] | None = None,
-    sample: int = fixed.ISOLATION_SAMPLE, name: str = "raw_score",
+    forest: DataFrame, df: DataFrame, feats: list[str] | None = None, name: str = "raw_score"
 ) -> DataFrame:
-    """Add ``2 ** (-mean path / c(sample))`` to every row; no row is left out."""
+    """Add ``2 ** (-mean path / c(sample))`` to every row; no row is left out.
+
+    The forest is bounded by ``trees * 2 * sample`` nodes, whatever the data size.
+    """
     feats = list(feats or fixed.ANOMALY_FEATURES)
     spark = df.sparkSession
     ship_package(spark)
-    shared = spark.sparkContext.broadcast(_as_arrays(forest))
-    norm = float(average_path(sample))
+    nodes = forest.toPandas()
+    shared = spark.sparkContext.broadcast(_as_arrays(nodes))
+    sample = int(nodes["sample"].max())
+    norm, steps = max(float(average_path(sample)), 1.0), _height(sample)
 
     @F.pandas_udf("double")
     def isolation_score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        trees = shared.value
         for columns in batches:
             points = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-            rows = np.arange(len(points))
-            total = np.zeros(len(points))
-            for tree in trees:
-                node = np.zeros(len(points), dtype=int)
-                while True:
-                    feature = tree["feature"][node]
-                    inner = feature >= 0
-                    if not inner.any():
-                        break
-                    left = points[rows, np.maximum(feature, 0)] <= tree["threshold"][node]
-                    node = np.where(inner, np.where(left, tree["left"][node], tree["right"][node]), node)
-                total += tree["path"][node]
-            yield pd.Series(np.exp2(-total / max(len(trees), 1) / norm))
+            yield pd.Series(np.exp2(-_mean_path(points, shared.value, steps) / norm))
 
     return df.withColumn(name, isolation_score(*[F.col(c).cast("double") for c in feats]))
 
