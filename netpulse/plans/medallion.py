@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from netpulse import fixed
 from netpulse.operators import anomaly, cleaning, explain, forecast, metrics, models, quality, risk, serving, targets
-from netpulse.session import stage, staging_path
+from netpulse.session import short_lived_stages, stage, staging_path
 from netpulse.sources import layers, runs
 
 
@@ -37,7 +37,8 @@ TRACKED_RUN = "boosted_trees_30min_failure"
 def build_silver(raw: DataFrame, names: Names = Names(), partition_by: list[str] | None = None) -> DataFrame:
     """Clean, save and verify; returns the one-row quality report."""
     spark = raw.sparkSession
-    layers.write_layer(cleaning.clean(raw), names.silver, partition_by=partition_by)
+    with short_lived_stages(spark):
+        layers.write_layer(cleaning.clean(raw), names.silver, partition_by=partition_by)
     saved = layers.read_layer(spark, names.silver)
     return quality.quality_gate(saved, saved.count())
 
@@ -80,10 +81,11 @@ def detect_anomalies(spark: SparkSession, names: Names = Names(), trees: int = f
     """Fit on a bounded sample, score every complete observation, save the anomaly table."""
     columns = [*fixed.ANOMALY_IDS, *fixed.ANOMALY_FEATURES]
     complete = cleaning.complete_rows(layers.read_layer(spark, names.silver), columns)
-    forest = anomaly.fit_isolation_forest(complete, trees=trees)
-    scored = stage(anomaly.score_isolation_forest(forest, complete), "isolation")
-    layers.write_layer(anomaly.anomaly_results(scored), names.anomalies)
-    layers.verify_saved(spark, names.anomalies, scored.count())
+    with short_lived_stages(spark):
+        forest = anomaly.fit_isolation_forest(complete, trees=trees)
+        scored = stage(anomaly.score_isolation_forest(forest, complete), "isolation")
+        layers.write_layer(anomaly.anomaly_results(scored), names.anomalies)
+        layers.verify_saved(spark, names.anomalies, scored.count())
     return layers.read_layer(spark, names.anomalies)
 
 
@@ -91,33 +93,34 @@ def train_tracked_model(
     spark: SparkSession, model_path: str, names: Names = Names(), trees: int = fixed.BOOSTING["trees"]
 ) -> str:
     """Train the production model, save it and log the run; returns the run id."""
-    label, features = targets.TARGET, fixed.MODEL_FEATURES
-    split = targets.time_split(stage(targets.range_model_frame(layers.read_layer(spark, names.silver)), "range_model"))
-    train, test = targets.train_part(split), targets.test_part(split)
-    weight = targets.pos_weight(train).first()
-    model = models.fit_boosted(train, features, depth=fixed.BOOSTING["tracked_depth"], trees=trees)
-    scored = stage(models.score(model, test), "scored")
-    results = metrics.all_metrics(scored, label).first().asDict()
-    importance = staging_path(spark, "feature_importance")
-    layers.export_csv(models.feature_importance(model), importance)
-    return runs.log_run(
-        spark, TRACKED_RUN,
-        params={
-            "algorithm": "boosted trees", "prediction_horizon": "30_minutes",
-            "split_strategy": "time_based_80_20", "decision_threshold": fixed.DECISION_THRESHOLD,
-            "feature_count": len(features), "trees": trees, "max_depth": fixed.BOOSTING["tracked_depth"],
-            "learning_rate": fixed.BOOSTING["step"], "subsample": fixed.BOOSTING["row_fraction"],
-            "feature_fraction": fixed.BOOSTING["feature_fraction"], "seed": fixed.SEED,
-            "scale_pos_weight": weight["scale_pos_weight"],
-        },
-        metrics={**results, "training_rows": train.count(), "testing_rows": scored.count()},
-        artifacts={
-            "model": runs.save_model(model, model_path), "feature_importance": importance,
-            "signature": runs.model_signature(train, features, label),
-            "input_example": runs.input_example(train, features, ["timestamp", "cell_id"]),
-        },
-        table=names.runs,
-    )
+    with short_lived_stages(spark):
+        label, features = targets.TARGET, fixed.MODEL_FEATURES
+        split = targets.time_split(stage(targets.range_model_frame(layers.read_layer(spark, names.silver)), "range_model"))
+        train, test = targets.train_part(split), targets.test_part(split)
+        weight = targets.pos_weight(train).first()
+        model = models.fit_boosted(train, features, depth=fixed.BOOSTING["tracked_depth"], trees=trees)
+        scored = stage(models.score(model, test), "scored")
+        results = metrics.all_metrics(scored, label).first().asDict()
+        importance = staging_path(spark, "feature_importance")
+        layers.export_csv(models.feature_importance(model), importance)
+        return runs.log_run(
+            spark, TRACKED_RUN,
+            params={
+                "algorithm": "boosted trees", "prediction_horizon": "30_minutes",
+                "split_strategy": "time_based_80_20", "decision_threshold": fixed.DECISION_THRESHOLD,
+                "feature_count": len(features), "trees": trees, "max_depth": fixed.BOOSTING["tracked_depth"],
+                "learning_rate": fixed.BOOSTING["step"], "subsample": fixed.BOOSTING["row_fraction"],
+                "feature_fraction": fixed.BOOSTING["feature_fraction"], "seed": fixed.SEED,
+                "scale_pos_weight": weight["scale_pos_weight"],
+            },
+            metrics={**results, "training_rows": train.count(), "testing_rows": scored.count()},
+            artifacts={
+                "model": runs.save_model(model, model_path), "feature_importance": importance,
+                "signature": runs.model_signature(train, features, label),
+                "input_example": runs.input_example(train, features, ["timestamp", "cell_id"]),
+            },
+            table=names.runs,
+        )
 
 
 def score_gold(gold: DataFrame, model: PipelineModel) -> DataFrame:
@@ -131,8 +134,8 @@ def score_risk(spark: SparkSession, names: Names = Names()) -> tuple[int, int]:
     scored = score_gold(layers.read_layer(spark, names.gold), runs.load_model(run["artifacts"]["model"]))
     layers.write_layer(risk.risk_scores(scored, layers.read_layer(spark, names.anomalies)), names.risk)
     saved = layers.read_layer(spark, names.risk)
-    queue = risk.alert_queue(saved)
-    layers.write_layer(queue, names.alerts)
+    with short_lived_stages(spark):
+        layers.write_layer(risk.alert_queue(saved), names.alerts)
     expected = risk.risk_totals(saved).first()
     return (
         layers.verify_saved(spark, names.risk, expected["records_scored"]),
@@ -143,8 +146,10 @@ def score_risk(spark: SparkSession, names: Names = Names()) -> tuple[int, int]:
 def publish_forecast(spark: SparkSession, export_path: str, names: Names = Names()) -> DataFrame:
     """Forecast the next day, save it, export it, check the row contracts; returns the summary."""
     hours = fixed.HORIZON_HOURS
-    series = stage(forecast.demand_series(layers.read_layer(spark, names.silver)), "demand")
-    layers.write_layer(forecast.finish_forecast(forecast.forecast_next(series, hours)), names.forecast, replace_schema=False)
+    with short_lived_stages(spark):
+        series = stage(forecast.demand_series(layers.read_layer(spark, names.silver)), "demand")
+        following = forecast.finish_forecast(forecast.forecast_next(series, hours))
+        layers.write_layer(following, names.forecast, replace_schema=False)
     layers.verify_saved(spark, names.forecast, hours)
     saved = layers.read_forecast(spark, names.forecast)
     export = forecast.forecast_export(saved)

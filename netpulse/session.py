@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +31,26 @@ def build_session(app: str = "netpulse", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
+# Sizing: shuffle bytes per task, and a bound on map-output bookkeeping.
+TASK_BYTES = 200 << 20
+MOST_PARTITIONS = 40_000
+
+
+def sized_settings(shuffle_bytes: int, cores: int) -> dict[str, str]:
+    """Partition settings for a job that shuffles about ``shuffle_bytes``.
+
+    Starts with enough partitions for each to fit in a task's memory; adaptive
+    execution merges those that turn out small.
+    """
+    wanted = max(2 * cores, -(-shuffle_bytes // TASK_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(min(wanted, MOST_PARTITIONS)),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TASK_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(2 * TASK_BYTES if wanted > MOST_PARTITIONS else 128 << 20),
+    }
+
+
 _local_areas: dict[str, str] = {}
 _staged: list[str] = []
 _shipped: set[str] = set()
@@ -98,11 +120,21 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_staged(spark: SparkSession) -> int:
-    """Delete what this process has staged; frames read from it must no longer be used."""
+def release_staged(spark: SparkSession, keep: int = 0) -> int:
+    """Delete staged frames, the oldest ``keep`` excepted; whatever reads them must no longer be used."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     released = 0
-    while _staged:
+    while len(_staged) > keep:
         path = hadoop.Path(_staged.pop())
         released += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
     return released
+
+
+@contextmanager
+def short_lived_stages(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside the block: for jobs whose results are saved tables."""
+    before = len(_staged)
+    try:
+        yield
+    finally:
+        release_staged(spark, before)

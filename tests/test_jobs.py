@@ -1,6 +1,7 @@
 """Sources, sinks, tracking and the end-to-end jobs."""
 
 import glob
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,8 @@ from pyspark.sql import functions as F
 from netpulse.catalog import inputs
 from netpulse.operators import quality, serving
 from netpulse.plans import medallion
-from netpulse.session import staging_root
+from netpulse import session
+from netpulse.session import sized_settings, staging_root
 from netpulse.sources import layers, runs
 from netpulse.sources.telemetry import read_telemetry_csv
 
@@ -66,6 +68,20 @@ def test_staging_uses_the_configured_folder(spark):
     assert staging_root(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_sizing_is_bounded():
+    small, huge = sized_settings(1 << 30, 8), sized_settings(100 << 40, 8000)
+    assert small["spark.sql.shuffle.partitions"] == "16" and huge["spark.sql.shuffle.partitions"] == "40000"
+
+
+def test_short_lived_stages_are_deleted(spark):
+    before = len(session._staged)
+    with session.short_lived_stages(spark):
+        kept = session.stage(spark.range(3))
+        assert kept.count() == 3
+        path = session._staged[-1]
+    assert len(session._staged) == before and not os.path.exists(path)
+
+
 def test_require():
     quality.require(True, "fine")
     with pytest.raises(ValueError, match="broken"):
@@ -74,6 +90,7 @@ def test_require():
 
 def test_whole_chain(spark, sf_dir, tmp_path):
     names = medallion.Names()
+    staged = len(session._staged)
     gate = medallion.build_silver(inputs.raw(spark, sf_dir), names, partition_by=["event_date"]).first()
     assert gate["status"] == "PASS"
     gold = medallion.build_gold(spark, names)
@@ -90,6 +107,7 @@ def test_whole_chain(spark, sf_dir, tmp_path):
     summary = medallion.publish_forecast(spark, str(tmp_path / "forecast"), names).first()
     assert summary["high_critical_hours"] == summary["high_hours"] + summary["critical_hours"]
     assert len(glob.glob(str(tmp_path / "forecast" / "*.csv"))) == 1
+    assert len(session._staged) == staged  # the jobs above leave nothing behind
     reports = medallion.compare_failure_models(gold, trees=3, sample=100)
     assert {name: frame.count() > 0 for name, frame in reports.items() if name != "risk_drivers"} == {
         name: True for name in reports if name != "risk_drivers"
