@@ -1,8 +1,9 @@
 """Will this cell fail soon?  Targets, chronological split and class balance.
 
 A window over a whole cell would put a busy cell's entire history into one
-task.  Histories are therefore cut into time slots, the windows run per
-(cell, slot), and a small per-slot table says what comes after each slot.
+task.  Histories are therefore cut into time slots, finer ones where a cell is
+very busy; the windows run per (cell, slot), and a small per-slot table says
+what comes after each slot.
 """
 
 from __future__ import annotations
@@ -13,23 +14,43 @@ from netpulse import fixed
 from netpulse.operators.cleaning import complete_rows
 from netpulse.operators.ordering import first_rows
 
-SLOT_SECONDS = 3600
 TARGET = "failure_next_30m"
 
+# Seconds per slot; slots with more than BUSY_ROWS observations are cut into fine ones.
+SLOT_SECONDS, FINE_SECONDS, BUSY_ROWS = 3600, 60, 2_000_000
+
 # Decide the order of observations a cell reports for the same instant.
 OBSERVATION_TIES = ["latency_ms", "throughput_mbps", "packet_loss_pct", "traffic_load_pct", "cpu_utilization_pct"]
 
+
 def _failing() -> Column:
     return F.col("failure_event") == 1
 
 
-def _slot(seconds: int) -> Column:
-    return F.floor(F.unix_timestamp("timestamp") / seconds).alias("slot")
+def _slot_start(seconds: int) -> Column:
+    return F.floor(F.unix_timestamp("timestamp") / seconds) * seconds
+
+
+def _busy_slots(df: DataFrame, slot_seconds: int, busy_rows: int) -> DataFrame:
+    """(cell, coarse slot) of more than ``busy_rows`` rows: no more of them than total rows / ``busy_rows``."""
+    counts = df.groupBy("cell_id", _slot_start(slot_seconds).alias("coarse")).agg(F.count(F.lit(1)).alias("size"))
+    return counts.filter(F.col("size") > busy_rows).select("cell_id", "coarse", F.lit(True).alias("busy"))
+
+
+def _slotted(df: DataFrame, columns: list[str], busy: DataFrame, slot_seconds: int, fine_seconds: int) -> DataFrame:
+    """``columns`` and the slot, named by its first second; slots of a cell follow each other in time."""
+    slot = F.when(F.col("busy"), _slot_start(fine_seconds)).otherwise(F.col("coarse"))
+    rows = df.select(*columns, _slot_start(slot_seconds).alias("coarse"))
+    return rows.join(F.broadcast(busy), ["cell_id", "coarse"], "left").select(*columns, slot.alias("slot"))
+
+
+def _later_slots() -> Window:
+    return Window.partitionBy("cell_id").orderBy(F.desc("slot")).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def future_failure_rows(
     df: DataFrame, n: int = fixed.ROWS_AHEAD, slot_seconds: int = SLOT_SECONDS, name: str = TARGET,
-    ties: list[str] | None = None,
+    ties: list[str] | None = None, fine_seconds: int = FINE_SECONDS, busy_rows: int = BUSY_ROWS,
 ) -> DataFrame:
     """1 when any of the cell's next ``n`` observations fails, else 0; NULL after the last one.
 
@@ -37,23 +58,22 @@ def future_failure_rows(
     distance to the next failing one is a difference of two positions.
     """
     ties = [c for c in OBSERVATION_TIES if c in df.columns] if ties is None else ties
+    busy = _busy_slots(df, slot_seconds, busy_rows)
     latest_first = [F.col(c).desc_nulls_last() for c in ("timestamp", *ties)]
     in_slot = Window.partitionBy("cell_id", "slot").orderBy(*latest_first)
     later = in_slot.rowsBetween(Window.unboundedPreceding, -1)
 
-    # place: 1 for the slot's last observation.
     def placed(columns: list[str]) -> DataFrame:
-        return df.select(*columns, _slot(slot_seconds)).withColumn("place", F.row_number().over(in_slot))
+        """place: 1 for the slot's last observation."""
+        rows = _slotted(df, columns, busy, slot_seconds, fine_seconds)
+        return rows.withColumn("place", F.row_number().over(in_slot))
 
     slots = placed(["cell_id", "timestamp", "failure_event", *ties]).groupBy("cell_id", "slot").agg(
         F.count(F.lit(1)).alias("size"), F.max(F.when(_failing(), F.col("place"))).alias("first_failing"),
     )
-    later_slots = (
-        Window.partitionBy("cell_id").orderBy(F.desc("slot")).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    after = slots.withColumn("rows_after", F.coalesce(F.sum("size").over(later_slots), F.lit(0))).select(
+    after = slots.withColumn("rows_after", F.coalesce(F.sum("size").over(_later_slots()), F.lit(0))).select(
         "cell_id", "slot", "rows_after",
-        F.last(F.col("rows_after") + F.col("first_failing"), ignorenulls=True).over(later_slots).alias("failing_after"),
+        F.last(F.col("rows_after") + F.col("first_failing"), ignorenulls=True).over(_later_slots()).alias("failing_after"),
     )
     position = F.col("rows_after") + F.col("place")
     next_failing = F.coalesce(F.col("rows_after") + F.col("failing_place"), F.col("failing_after"))
@@ -67,33 +87,40 @@ def future_failure_rows(
 
 
 def future_failure_range(
-    df: DataFrame, sec: int = fixed.SECONDS_AHEAD, slot_seconds: int = SLOT_SECONDS, name: str = TARGET
+    df: DataFrame, sec: int = fixed.SECONDS_AHEAD, slot_seconds: int = SLOT_SECONDS, name: str = TARGET,
+    fine_seconds: int = FINE_SECONDS, busy_rows: int = BUSY_ROWS,
 ) -> DataFrame:
     """1 when the cell fails within the next 1..``sec`` seconds, else 0; NULL when nothing is observed then.
 
-    Observations of the same second do not see each other.
+    Only the next observed and the next failing second matter.  Observations of
+    the same second do not see each other.
     """
-    if slot_seconds < sec:
-        raise ValueError("a slot must be at least as long as the horizon")
+    busy = _busy_slots(df, slot_seconds, busy_rows)
     second = F.unix_timestamp("timestamp")
     later = (
         Window.partitionBy("cell_id", "slot").orderBy(F.desc("second"))
         .rangeBetween(Window.unboundedPreceding, -1)
     )
-    # The horizon reaches into the next slot at most; each slot is told what that one starts with.
-    following = df.groupBy("cell_id", _slot(slot_seconds)).agg(
-        F.min(second).alias("following_second"), F.min(F.when(_failing(), second)).alias("following_failing"),
-    ).withColumn("slot", F.col("slot") - 1)
-    next_seen = F.coalesce("later_second", "following_second") - F.col("second")
-    next_failing = F.coalesce("later_failing", "following_failing") - F.col("second")
+    narrow = _slotted(df, ["cell_id", "timestamp", "failure_event"], busy, slot_seconds, fine_seconds)
+    slots = narrow.groupBy("cell_id", "slot").agg(
+        F.min(second).alias("first_second"), F.min(F.when(_failing(), second)).alias("first_failing"),
+    )
+    after = slots.select(
+        "cell_id", "slot",
+        F.last("first_second").over(_later_slots()).alias("second_after"),
+        F.last("first_failing", ignorenulls=True).over(_later_slots()).alias("failing_after"),
+    )
+    next_seen = F.coalesce("later_second", "second_after") - F.col("second")
+    next_failing = F.coalesce("later_failing", "failing_after") - F.col("second")
     soon = F.coalesce(next_failing <= sec, F.lit(False))
     return (
-        df.select(*df.columns, _slot(slot_seconds), second.alias("second"))
+        _slotted(df, df.columns, busy, slot_seconds, fine_seconds)
+        .withColumn("second", second)
         .withColumns({
             "later_second": F.last("second").over(later),
             "later_failing": F.last(F.when(_failing(), F.col("second")), ignorenulls=True).over(later),
         })
-        .join(following, ["cell_id", "slot"], "left")
+        .join(after, ["cell_id", "slot"], "left")
         .select(*df.columns, F.when(next_seen <= sec, soon.cast("int")).alias(name))
     )
 

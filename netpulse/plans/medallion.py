@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from netpulse import fixed
 from netpulse.operators import anomaly, cleaning, explain, forecast, metrics, models, quality, risk, serving, targets
-from netpulse.session import short_lived_stages, stage, staging_path
+from netpulse.session import short_lived_stages, stage
 from netpulse.sources import layers, runs
 
 
@@ -101,7 +101,7 @@ def train_tracked_model(
         model = models.fit_boosted(train, features, depth=fixed.BOOSTING["tracked_depth"], trees=trees)
         scored = stage(models.score(model, test), "scored")
         results = metrics.all_metrics(scored, label).first().asDict()
-        importance = staging_path(spark, "feature_importance")
+        importance = f"{model_path.rstrip('/')}-feature_importance"
         layers.export_csv(models.feature_importance(model), importance)
         return runs.log_run(
             spark, TRACKED_RUN,

@@ -24,26 +24,29 @@ def as_rows(df):
     return sorted(map(str, df.collect()))
 
 
-@pytest.mark.parametrize("n", [1, 6])
-@pytest.mark.parametrize("slot", [60, 3600])
-def test_next_rows(spark, n, slot):
+@pytest.mark.parametrize("n, slot, busy", [(1, 3600, 10**6), (6, 60, 10**6), (6, 3600, 20), (6, 86400, 0)])
+def test_next_rows(spark, n, slot, busy):
     df = history(spark)
     window = Window.partitionBy("cell_id").orderBy("timestamp", "latency_ms").rowsBetween(1, n)
     want = df.withColumn("target", F.max("failure_event").over(window))
-    assert as_rows(targets.future_failure_rows(df, n, slot, "target")) == as_rows(want)
+    assert as_rows(targets.future_failure_rows(df, n, slot, "target", busy_rows=busy)) == as_rows(want)
 
 
-@pytest.mark.parametrize("sec, slot", [(1800, 3600), (1800, 1800), (1, 60)])
-def test_next_seconds(spark, sec, slot):
+@pytest.mark.parametrize("sec, slot, busy", [(1800, 3600, 10**6), (1800, 600, 10**6), (1800, 3600, 20), (1, 60, 0)])
+def test_next_seconds(spark, sec, slot, busy):
     df = history(spark, 9)
     window = Window.partitionBy("cell_id").orderBy(F.unix_timestamp("timestamp")).rangeBetween(1, sec)
     want = df.withColumn("target", F.max("failure_event").over(window))
-    assert as_rows(targets.future_failure_range(df, sec, slot, "target")) == as_rows(want)
+    assert as_rows(targets.future_failure_range(df, sec, slot, "target", busy_rows=busy)) == as_rows(want)
 
 
-def test_horizon_longer_than_a_slot_is_refused(spark):
-    with pytest.raises(ValueError):
-        targets.future_failure_range(history(spark), 1800, 600)
+def test_busy_slots_are_cut_finer(spark):
+    df = history(spark)
+    busy = targets._busy_slots(df, 3600, 20)
+    sizes = targets._slotted(df, df.columns, busy, 3600, 60).groupBy("cell_id", "slot").count()
+    coarse = df.groupBy("cell_id", targets._slot_start(3600).alias("slot")).count()
+    largest = lambda counts: counts.agg(F.max("count")).first()[0]
+    assert busy.count() > 0 and largest(sizes) < largest(coarse)
 
 
 def small(spark, rows):
