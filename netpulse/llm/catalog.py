@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from netpulse.llm import exact_dedup
+from netpulse.llm import exact_dedup, exact_topk, packing
 from netpulse.llm.common import read
 
 
@@ -14,11 +14,35 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.top_k(read(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
+def public_vocabulary() -> tuple[str, tuple[str, str]]:
+    """Path of the public vocabulary, and the same as ranks with their split pattern."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.token_pieces(read(spark, sf_dir, "documents"), *public_vocabulary()))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_exact_topk": op3_exact_topk,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_packing": op8_packing,
 }
 
 ORACLES: dict[str, str] = {
+    "op3_exact_topk": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(x::DOUBLE * 256)::BIGINT) AS q FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q::DOUBLE[], b.q::DOUBLE[])::BIGINT AS score
+              FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+        r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
     "op7_exact_dedup": r"""
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
         SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
