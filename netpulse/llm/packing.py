@@ -146,7 +146,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_
     def work(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["length", "ids_crc32", "doc_id", "piece"], ascending=[False, True, True, True])
         bins, offsets = sum_of_squares(frame["length"].to_numpy(), capacity)
-        frame["sequence_id"] = (frame["shard"].astype("int64") << 32) + bins
+        frame["sequence_id"] = frame["shard"].astype("int64") * 2**32 + bins
         frame["offset"] = offsets
         return frame.drop(columns="shard")
 
