@@ -5,15 +5,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from netpulse.llm import exact_dedup, exact_topk, packing
-from netpulse.llm.common import read
+from netpulse.llm import exact_dedup, exact_topk, packing, quality, toxicity
+from netpulse.llm.common import crc_share, read
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"), crc_share(F.col("doc_id"), 4) != 2)
+    return toxicity.score(docs, model).withColumn("held_out", F.coalesce(crc_share(F.col("doc_id"), 4) == 2, F.lit(False)))
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    field = quality.fit(docs, read(spark, sf_dir, "labels"), crc_share(F.col("doc_id"), 3) != 1)
+    return quality.score(docs, field).withColumn("held_out", F.coalesce(crc_share(F.col("doc_id"), 3) == 1, F.lit(False)))
+
+
 def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.top_k(read(spark, sf_dir, "embeddings"), k=5, every=50)
 
@@ -30,7 +43,9 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op3_exact_topk": op3_exact_topk,
+    "op6_toxicity": op6_toxicity,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_packing": op8_packing,
 }
