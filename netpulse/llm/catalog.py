@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netpulse.llm import exact_dedup, exact_topk, packing, quality, toxicity
+from netpulse.llm import exact_dedup, exact_topk, licences, mixing, packing, quality, toxicity
 from netpulse.llm.common import crc_share, read
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.license_scan(read(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"), crc_share(F.col("doc_id"), 4) != 2)
@@ -27,6 +31,15 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, field).withColumn("held_out", F.coalesce(crc_share(F.col("doc_id"), 3) == 1, F.lit(False)))
 
 
+def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents' topics: the label of the embedding with the same number."""
+    return read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("label").alias("topic"))
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.calibrated(read(spark, sf_dir, "documents"), topics(spark, sf_dir))
+
+
 def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.top_k(read(spark, sf_dir, "embeddings"), k=5, every=50)
 
@@ -44,13 +57,17 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_mixing": op2_mixing,
     "op3_exact_topk": op3_exact_topk,
+    "op4_license_scan": op4_license_scan,
     "op6_toxicity": op6_toxicity,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_packing": op8_packing,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_mixing": mixing.oracle(),
+    "op4_license_scan": licences.oracle(),
     "op3_exact_topk": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS q FROM embeddings
                    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
