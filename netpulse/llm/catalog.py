@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netpulse.llm import exact_dedup, exact_topk, licences, mixing, near_dedup, packing, quality, toxicity
+from netpulse.llm import exact_dedup, exact_topk, licences, mixing, near_dedup, packing, personal, quality, toxicity
 from netpulse.llm.common import crc_share, read
 
 
@@ -55,6 +55,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(read(spark, sf_dir, "documents"), *public_vocabulary()))
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.find_personal(read(spark, sf_dir, "documents"))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_packing": op8_packing,
+    "op9_personal_data": op9_personal_data,
     "op10_near_dedup": op10_near_dedup,
 }
 
