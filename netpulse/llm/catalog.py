@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netpulse.llm import exact_dedup, exact_topk, licences, mixing, near_dedup, packing, personal, quality, toxicity
+from netpulse.llm import exact_dedup, exact_topk, licences, mixing, near_dedup, packing, personal, quality, suffix_dedup, toxicity
 from netpulse.llm.common import crc_share, read
 
 
@@ -51,6 +51,10 @@ def public_vocabulary() -> tuple[str, tuple[str, str]]:
     return public_tokenizers.path("byte_bpe_50k.json"), (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(read(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(read(spark, sf_dir, "documents"), *public_vocabulary()))
 
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_exact_topk": op3_exact_topk,
     "op4_license_scan": op4_license_scan,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_packing": op8_packing,

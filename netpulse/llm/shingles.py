@@ -22,7 +22,7 @@ _MULTIPLY = _rng.integers(0, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2)
 _powers: dict[str, np.ndarray] = {}
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i modulo 2**64 for i up to n."""
     if not _powers or len(_powers["up"]) <= n:
         size = max(n + 1, CHUNK_BYTES + (1 << 16))
@@ -56,7 +56,7 @@ def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = edges[0::2], edges[1::2]
     if not len(starts):
         return np.empty(0, np.uint64), np.zeros(len(texts), np.int64)
-    up, down = _power_tables(len(raw))
+    up, down = power_tables(len(raw))
     sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[raw] * up[: len(raw)], dtype=np.uint64)])
     words = mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
     owner = np.searchsorted(text_starts, starts, side="right") - 1
