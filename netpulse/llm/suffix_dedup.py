@@ -5,8 +5,8 @@ of its 32-byte grams, so equal strings pick the same suffix and about one byte i
 starts one.  A row is a sampled suffix with the run of 100-byte strings that picked
 it, and its context is all bytes of that run.  A batch's rows are sorted by (gram,
 context) and merge-scanned, in one sort, with every level of the family: a context
-seen before is a repeat as a whole.  New contexts make a level, and levels of equal
-rank merge in the same scan.  Where one gram has several contexts, the bytes
+seen before is a repeat as a whole.  New contexts make a level, and levels that have
+come to equal ranks merge in the scan that the next batch needs anyway.  Where one gram has several contexts, the bytes
 themselves are compared string by string.
 
 The order is that of 64-bit fingerprints of the bytes, not of the bytes: the scan asks
@@ -130,14 +130,24 @@ def _end(at: Column) -> Column:
 
 
 class SuffixIndex:
-    """Levels of distinct (gram, context) rows; rank r holds up to 2**r batches.
+    """Levels of distinct (gram, context) rows; a level of rank r holds 2**r batches.
 
     Batches must come in ascending order of their rows: what a level holds is
     earlier than what is added.  Every level is a table in the shared folder.
     """
 
     def __init__(self) -> None:
-        self.levels: dict[int, DataFrame] = {}
+        self.levels: list[tuple[int, DataFrame]] = []  # ranks descend, the newest last
+
+    def _due(self) -> tuple[int, int]:
+        """How many of the newest levels are to merge (equal ranks, and what that makes equal), and the rank that results."""
+        ranks = [rank for rank, _ in self.levels]
+        merged, rank = 0, 0
+        while len(ranks) > 1 and ranks[-1] == ranks[-2]:
+            rank = ranks.pop() + 1
+            ranks[-1] = rank
+            merged = len(self.levels) - len(ranks) + 1
+        return merged, rank
 
     def add(self, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Index ``batch`` (a, c, row, at).
@@ -145,21 +155,21 @@ class SuffixIndex:
         Returns the byte runs (row, lo, hi) of its contexts that came before, and the
         rows (a, row, at) of all grams that have several contexts in the whole family.
         """
-        rank = 0
-        while rank in self.levels:
-            rank += 1
-        rows = batch.withColumn("level", F.lit(-1))
-        for r, level in self.levels.items():
-            rows = rows.unionByName(level.withColumn("level", F.lit(r)))
+        merged, rank = self._due()
+        stay = len(self.levels) - merged
+        # 0: the batch, 1: a level that merges now, 2: a level that stays as it is
+        rows = batch.withColumn("kind", F.lit(0).cast("byte"))
+        for i, (_, level) in enumerate(self.levels):
+            rows = rows.unionByName(level.withColumn("kind", F.lit(1 + (i < stay)).cast("byte")))
         group = Window.partitionBy("a")
-        order = group.orderBy("c", F.col("level").desc(), "row", "at")
+        order = group.orderBy("c", F.col("kind").desc(), "row", "at")
         scanned = rows.select(
             "*", F.lag("c").over(order).eqNullSafe(F.col("c")).alias("seen"), (F.min("c").over(group) != F.max("c").over(group)).alias("several")
         )
-        # levels below ``rank`` merge with the batch; of the others only what must be compared is written
-        scanned = stage(scanned.where(F.col("several") | (F.col("level") < rank)), "suffixes")
-        self.levels = {r: level for r, level in self.levels.items() if r > rank}
-        self.levels[rank] = scanned.where(~F.col("seen") & (F.col("level") < rank)).select("a", "c", "row", "at")
+        scanned = stage(scanned.where("several OR kind < 2"), "suffixes")
+        if merged:
+            self.levels[stay:] = [(rank, scanned.where("kind = 1").select("a", "c", "row", "at"))]
+        self.levels.append((0, scanned.where("kind = 0 AND NOT seen").select("a", "c", "row", "at")))
         runs = scanned.where("seen").select("row", _start(F.col("at")).alias("lo"), _end(F.col("at")).alias("hi"))
         return runs, scanned.where("several AND NOT seen").select("a", "row", "at")
 
