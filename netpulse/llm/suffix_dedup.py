@@ -38,7 +38,7 @@ _STEP = LENGTH - GRAM + 1  # grams in a string
 _BYTE = np.random.default_rng(20240601).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE_BITS = np.uint64(24)
 _RELATIVE = np.uint64(0x9FB21C651E98DF25)
-_ROW = "a long, c long, row long, at long"
+_ROW = "a long, c long, row long, at long, here boolean"
 
 
 def _prefix(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,16 +106,31 @@ def _pieces(texts: list[bytes]) -> Iterator[tuple[list[bytes], list[int], list[i
 
 
 def suffixes(docs: DataFrame) -> DataFrame:
-    """Sampled suffixes (a, c, row, at) of ``docs`` (row, text); ``at`` packs start, number of strings and gram's place."""
+    """Sampled suffixes (a, c, row, at, here) of ``docs`` (row, text).
+
+    ``at`` packs start, number of strings and gram's place.  Of equal contexts in one
+    Arrow batch all but the first are marked ``here``: they are known repeats, and get
+    a gram of their own, so that a passage in a third of all rows is no hot key.
+    """
     ship_package(docs.sparkSession)
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = frame["row"].to_numpy()
+            found = []
             for parts, numbers, starts in _pieces([t.encode("utf-8", "replace") for t in frame["text"]]):
                 owner, low, count, place, gram, context = sampled_suffixes(parts)
                 at = (np.array(starts, np.int64)[owner] + low) * 65536 + count * 256 + place
-                yield pd.DataFrame({"a": gram.view(np.int64), "c": context.view(np.int64), "row": rows[np.array(numbers, np.int64)[owner]], "at": at})
+                found.append((gram, context, rows[np.array(numbers, np.int64)[owner]], at))
+            if not found:
+                continue
+            gram, context, row, at = (np.concatenate(x) for x in zip(*found))
+            order = np.lexsort((at, row, context, gram))
+            before, after = order[:-1], order[1:]
+            here = np.zeros(len(order), bool)
+            here[after] = (gram[before] == gram[after]) & (context[before] == context[after])
+            own = mixed(row.astype(np.uint64) * _RELATIVE ^ mixed(at.astype(np.uint64)))
+            yield pd.DataFrame({"a": np.where(here, own, gram).view(np.int64), "c": context.view(np.int64), "row": row, "at": at, "here": here})
 
     return docs.select("row", "text").mapInPandas(work, _ROW)
 
@@ -150,7 +165,7 @@ class SuffixIndex:
         return merged, rank
 
     def add(self, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Index ``batch`` (a, c, row, at).
+        """Index ``batch`` (a, c, row, at, here).
 
         Returns the byte runs (row, lo, hi) of its contexts that came before, and the
         rows (a, row, at) of all grams that have several contexts in the whole family.
@@ -160,11 +175,12 @@ class SuffixIndex:
         # 0: the batch, 1: a level that merges now, 2: a level that stays as it is
         rows = batch.withColumn("kind", F.lit(0).cast("byte"))
         for i, (_, level) in enumerate(self.levels):
-            rows = rows.unionByName(level.withColumn("kind", F.lit(1 + (i < stay)).cast("byte")))
+            rows = rows.unionByName(level.withColumn("here", F.lit(False)).withColumn("kind", F.lit(1 + (i < stay)).cast("byte")))
         group = Window.partitionBy("a")
         order = group.orderBy("c", F.col("kind").desc(), "row", "at")
         scanned = rows.select(
-            "*", F.lag("c").over(order).eqNullSafe(F.col("c")).alias("seen"), (F.min("c").over(group) != F.max("c").over(group)).alias("several")
+            "a", "c", "row", "at", "kind", (F.col("here") | F.lag("c").over(order).eqNullSafe(F.col("c"))).alias("seen"),
+            (F.min("c").over(group) != F.max("c").over(group)).alias("several")
         )
         scanned = stage(scanned.where("several OR kind < 2"), "suffixes")
         if merged:
