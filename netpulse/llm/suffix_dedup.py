@@ -38,7 +38,7 @@ _STEP = LENGTH - GRAM + 1  # grams in a string
 _BYTE = np.random.default_rng(20240601).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE_BITS = np.uint64(24)
 _RELATIVE = np.uint64(0x9FB21C651E98DF25)
-_ROW = "a long, c long, row long, at long, here boolean"
+_ROW = "a long, c long, row long, at long, kind byte"
 
 
 def _prefix(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,11 +106,11 @@ def _pieces(texts: list[bytes]) -> Iterator[tuple[list[bytes], list[int], list[i
 
 
 def suffixes(docs: DataFrame) -> DataFrame:
-    """Sampled suffixes (a, c, row, at, here) of ``docs`` (row, text).
+    """Sampled suffixes (a, c, row, at, kind) of ``docs`` (row, text).
 
     ``at`` packs start, number of strings and gram's place.  Of equal contexts in one
-    Arrow batch all but the first are marked ``here``: they are known repeats, and get
-    a gram of their own, so that a passage in a third of all rows is no hot key.
+    Arrow batch all but the first are known repeats: their kind is 1 instead of 0, and
+    they get a gram of their own and no context, so that a passage in a third of all rows is no hot key.
     """
     ship_package(docs.sparkSession)
 
@@ -130,7 +130,7 @@ def suffixes(docs: DataFrame) -> DataFrame:
             here = np.zeros(len(order), bool)
             here[after] = (gram[before] == gram[after]) & (context[before] == context[after])
             own = mixed(row.astype(np.uint64) * _RELATIVE ^ mixed(at.astype(np.uint64)))
-            yield pd.DataFrame({"a": np.where(here, own, gram).view(np.int64), "c": context.view(np.int64), "row": row, "at": at, "here": here})
+            yield pd.DataFrame({"a": np.where(here, own, gram).view(np.int64), "c": np.where(here, 0, context.view(np.int64)), "row": row, "at": at, "kind": here.astype(np.int8)})
 
     return docs.select("row", "text").mapInPandas(work, _ROW)
 
@@ -165,26 +165,27 @@ class SuffixIndex:
         return merged, rank
 
     def add(self, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Index ``batch`` (a, c, row, at, here).
+        """Index ``batch`` (a, c, row, at, kind).
 
         Returns the byte runs (row, lo, hi) of its contexts that came before, and the
         rows (a, row, at) of all grams that have several contexts in the whole family.
         """
         merged, rank = self._due()
         stay = len(self.levels) - merged
-        # 0: the batch, 1: a level that merges now, 2: a level that stays as it is
-        rows = batch.withColumn("kind", F.lit(0).cast("byte"))
+        # 0: the batch, 1: known repeats in it, 2: a level that merges now, 3: a level that stays as it is
+        rows = batch
         for i, (_, level) in enumerate(self.levels):
-            rows = rows.unionByName(level.withColumn("here", F.lit(False)).withColumn("kind", F.lit(1 + (i < stay)).cast("byte")))
+            rows = rows.unionByName(level.withColumn("kind", F.lit(2 + (i < stay)).cast("byte")))
         group = Window.partitionBy("a")
         order = group.orderBy("c", F.col("kind").desc(), "row", "at")
         scanned = rows.select(
-            "a", "c", "row", "at", "kind", (F.col("here") | F.lag("c").over(order).eqNullSafe(F.col("c"))).alias("seen"),
-            (F.min("c").over(group) != F.max("c").over(group)).alias("several")
+            "*",
+            ((F.col("kind") == 1) | F.lag("c").over(order).eqNullSafe(F.col("c"))).alias("seen"),
+            (F.min("c").over(group) != F.max("c").over(group)).alias("several"),
         )
-        scanned = stage(scanned.where("several OR kind < 2"), "suffixes")
+        scanned = stage(scanned.where("several OR kind < 3"), "suffixes")
         if merged:
-            self.levels[stay:] = [(rank, scanned.where("kind = 1").select("a", "c", "row", "at"))]
+            self.levels[stay:] = [(rank, scanned.where("kind = 2").select("a", "c", "row", "at"))]
         self.levels.append((0, scanned.where("kind = 0 AND NOT seen").select("a", "c", "row", "at")))
         runs = scanned.where("seen").select("row", _start(F.col("at")).alias("lo"), _end(F.col("at")).alias("hi"))
         return runs, scanned.where("several AND NOT seen").select("a", "row", "at")
