@@ -78,7 +78,8 @@ def _leaves(members: DataFrame) -> DataFrame:
     for _ in range(LEVELS):
         if not crowded.take(1):
             return leaves
-        second = F.when(F.pmod(F.xxhash64("node", F.lit(3)), F.lit(2)) == 0, chosen(2))
+        # 1 / similarity children on average: a pair at the least similarity keeps one shared path a level, others die out
+        second = F.when(F.pmod(F.xxhash64("node", F.lit(3)), F.lit(SIMILARITY)) < 100 - SIMILARITY, chosen(2))
         paths = F.array_distinct(F.filter(F.array(chosen(1), second), lambda c: c.isNotNull()))
         branched = crowded.withColumn("coordinate", F.explode(paths))
         branched = branched.withColumn("node", F.xxhash64("node", "coordinate", _value(F.col("signature"), F.col("coordinate")))).drop("coordinate")
