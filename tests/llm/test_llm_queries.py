@@ -10,7 +10,7 @@ import brute
 import compare
 import corpus_pipeline
 from netpulse.llm.catalog import ORACLES, QUERIES, public_vocabulary
-from netpulse.llm import suffix_dedup
+from netpulse.llm import near_dedup, suffix_dedup
 
 
 @pytest.fixture(scope="module")
@@ -53,7 +53,11 @@ def test_suffix_dedup(spark, sf_dir, texts, monkeypatch, batches, limit):
     assert found == brute.repeated_passages(texts)
 
 
-def test_near_dedup(spark, sf_dir, texts):
+# the small limits send rows down the trees, and those that nothing parts to the blocks
+@pytest.mark.parametrize("limit, levels", [(512, 16), (4, 16), (4, 1)])
+def test_near_dedup(spark, sf_dir, texts, monkeypatch, limit, levels):
+    monkeypatch.setattr(near_dedup, "NODE_LIMIT", limit)
+    monkeypatch.setattr(near_dedup, "LEVELS", levels)
     found = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in QUERIES["op10_near_dedup"](spark, sf_dir).collect()}
     assert found == brute.near_duplicates(texts)
 
