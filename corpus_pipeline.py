@@ -15,6 +15,9 @@ from netpulse.llm import exact_dedup, mixing, near_dedup, packing, toxicity
 from netpulse.llm.catalog import public_vocabulary, topics
 from netpulse.llm.common import read, stage
 
+# Least shingle similarity in percent of documents of which the pipeline keeps one; op10_near_dedup has its own.
+NEAR_PERCENT = 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -30,7 +33,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked documents stays."""
-    return near_dedup.without_near_copies(docs)
+    return near_dedup.without_near_copies(docs, NEAR_PERCENT)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

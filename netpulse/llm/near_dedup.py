@@ -13,6 +13,9 @@ Links that survive are contracted to components.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
+from math import comb
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -24,14 +27,30 @@ from netpulse.llm.common import documents_of, grouped_batches, partitions, ship_
 from netpulse.llm.components import connected_components
 from netpulse.llm.shingles import COORDINATES, chunked, shingle_sets, summaries
 
-# Least similarity in percent, trees, rows of a node compared exhaustively, levels below the root.
+# Least similarity in percent where none is given, rows of a node compared exhaustively, levels below the root.
 SIMILARITY = 85
-TREES = 8
 NODE_LIMIT = 512
 LEVELS = 16
-# Of 64 minwise values a pair at the least similarity shares 54 on average, with a deviation of 3:
-# fewer than 40 shared values happen to about one such pair in ten million.
-LEAST_SHARED = 40
+# Share of the pairs at just the least similarity that may part in all trees, and again that may fall below the cut.
+MISS = 3e-7
+
+
+class Rule(NamedTuple):
+    """What follows from the least similarity: trees, and minwise values that a candidate pair shares at least."""
+
+    percent: int
+    trees: int
+    least_shared: int
+
+
+def rule_of(percent: int) -> Rule:
+    """The fewest trees and the highest cut that each lose at most ``MISS`` of the pairs at ``percent``."""
+    s = percent / 100
+    trees = next(t for t in range(1, COORDINATES) if (1 - s) ** t <= MISS)
+    below, least = 0.0, 0
+    while (below := below + comb(COORDINATES, least) * s**least * (1 - s) ** (COORDINATES - least)) <= MISS:
+        least += 1
+    return Rule(percent, trees, least)
 
 
 def _bytes_of(texts: pd.Series) -> list[bytes]:
@@ -54,7 +73,7 @@ def _value(signature: Column, coordinate: Column) -> Column:
     return F.substring(signature, coordinate * 4 + 1, F.lit(4))
 
 
-def _leaves(members: DataFrame) -> DataFrame:
+def _leaves(members: DataFrame, rule: Rule) -> DataFrame:
     """(node, rep, n, signature, tree, small) of all nodes that are compared exhaustively.
 
     ``members`` holds rep, n and signature.  ``small`` is a bit per tree whose root
@@ -62,7 +81,7 @@ def _leaves(members: DataFrame) -> DataFrame:
     the first such tree that it shares, and in lower nodes only if there is none.
     """
     members = members.where("n > 0")
-    rooted = members.select("rep", "n", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
+    rooted = members.select("rep", "n", "signature", F.explode(F.sequence(F.lit(0), F.lit(rule.trees - 1))).alias("tree"))
     rooted = rooted.select("tree", "rep", F.xxhash64("tree", _value(F.col("signature"), F.col("tree"))).alias("node"))
     sizes = rooted.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = stage(rooted.join(sizes, "node"), "roots")
@@ -73,13 +92,13 @@ def _leaves(members: DataFrame) -> DataFrame:
     crowded = rows.where(F.col("size") > NODE_LIMIT).drop("size")
 
     def chosen(k: int) -> Column:
-        return F.pmod(F.xxhash64("node", F.lit(k)), F.lit(COORDINATES - TREES)).cast("int") + TREES
+        return F.pmod(F.xxhash64("node", F.lit(k)), F.lit(COORDINATES - rule.trees)).cast("int") + rule.trees
 
     for _ in range(LEVELS):
         if not crowded.take(1):
             return leaves
         # 1 / similarity children on average: a pair at the least similarity keeps one shared path a level, others die out
-        second = F.when(F.pmod(F.xxhash64("node", F.lit(3)), F.lit(SIMILARITY)) < 100 - SIMILARITY, chosen(2))
+        second = F.when(F.pmod(F.xxhash64("node", F.lit(3)), F.lit(rule.percent)) < 100 - rule.percent, chosen(2))
         paths = F.array_distinct(F.filter(F.array(chosen(1), second), lambda c: c.isNotNull()))
         branched = crowded.withColumn("coordinate", F.explode(paths))
         branched = branched.withColumn("node", F.xxhash64("node", "coordinate", _value(F.col("signature"), F.col("coordinate")))).drop("coordinate")
@@ -101,14 +120,14 @@ def _leaves(members: DataFrame) -> DataFrame:
     return leaves
 
 
-def _candidates(node: np.ndarray, n: np.ndarray, small: np.ndarray, tree: np.ndarray, deep: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _candidates(node: np.ndarray, n: np.ndarray, small: np.ndarray, tree: np.ndarray, deep: np.ndarray, values: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row pairs (i < j) of equal nodes that can reach the least similarity, with the values they share.
 
     Rows come sorted by node; offset by offset, each row is held against the row
     that stands so far behind it.
     """
     left, right, shared = [], [], []
-    bits = 1 << np.arange(TREES)
+    bits = 1 << np.arange(rule.trees)
     at = np.arange(len(node))
     for k in range(1, len(node)):
         at = at[: np.searchsorted(at, len(node) - k)]
@@ -116,14 +135,14 @@ def _candidates(node: np.ndarray, n: np.ndarray, small: np.ndarray, tree: np.nda
         if not len(at):
             break
         i, j = at, at + k
-        fits = np.maximum(n[i], n[j]) * SIMILARITY <= np.minimum(n[i], n[j]) * 100
+        fits = np.maximum(n[i], n[j]) * rule.percent <= np.minimum(n[i], n[j]) * 100
         i, j = i[fits], j[fits]
         same = (values[i] == values[j]).sum(1)
-        likely = same >= LEAST_SHARED
+        likely = same >= rule.least_shared
         i, j, same = i[likely], j[likely], same[likely]
         # shared root parts that are compared as they are, and among them those of earlier trees
-        met = (values[i, :TREES] == values[j, :TREES]) & ((small[i][:, None] & bits) > 0)
-        met &= deep[i][:, None] | (np.arange(TREES)[None, :] < tree[i][:, None])
+        met = (values[i, : rule.trees] == values[j, : rule.trees]) & ((small[i][:, None] & bits) > 0)
+        met &= deep[i][:, None] | (np.arange(rule.trees)[None, :] < tree[i][:, None])
         own = ~met.any(1)
         left.append(i[own])
         right.append(j[own])
@@ -140,20 +159,20 @@ def _columns(table: pa.Table) -> dict[str, np.ndarray]:
     return out
 
 
-def _with_candidates(table: pa.Table) -> pa.Table:
+def _with_candidates(table: pa.Table, rule: Rule) -> pa.Table:
     """The rows that have a candidate pair in their node."""
     c = _columns(table)
-    i, j, _ = _candidates(c["node"], c["n"], c["small"], c["tree"], c["deep"], c["values"])
+    i, j, _ = _candidates(c["node"], c["n"], c["small"], c["tree"], c["deep"], c["values"], rule)
     mask = np.zeros(table.num_rows, bool)
     mask[i], mask[j] = True, True
     return table.filter(pa.array(mask))
 
 
-def _linked(table: pa.Table) -> pa.Table:
+def _linked(table: pa.Table, rule: Rule) -> pa.Table:
     """A spanning forest (a, b) of the links that full sets confirm, node by node."""
     c = _columns(table)
     sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
-    i, j, shared = _candidates(c["node"], c["n"], c["small"], c["tree"], c["deep"], c["values"])
+    i, j, shared = _candidates(c["node"], c["n"], c["small"], c["tree"], c["deep"], c["values"], rule)
     order = np.lexsort((-shared, c["node"][i]))
     i, j = i[order], j[order]
     parent = list(range(table.num_rows))
@@ -177,7 +196,7 @@ def _linked(table: pa.Table) -> pa.Table:
             if rx == ry:
                 continue
             common = int(both[k]) if both is not None else len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-            if 100 * common >= SIMILARITY * (len(sets[x]) + len(sets[y]) - common):
+            if 100 * common >= rule.percent * (len(sets[x]) + len(sets[y]) - common):
                 parent[rx] = ry
                 out.append((int(c["rep"][x]), int(c["rep"][y])))
     return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
@@ -210,12 +229,12 @@ def _by_node(rows: DataFrame, work, schema: str) -> DataFrame:
 _LEAF = "node long, rep long, n long, signature binary, tree int, small int, deep boolean"
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
     Words are split at ASCII white space with A-Z lowered; sets hold distinct
     5-word shingles, or the whole sequence of a shorter text.  Documents with
-    100 * |intersection| >= 85 * |union| are linked, and component_id is the
+    100 * |intersection| >= ``percent`` * |union| are linked, and component_id is the
     smallest doc_id reachable.  Texts without words (null, empty, blank) link with
     nothing.  Rows without doc_id take no part: component_id null, kept.  Rows that
     share a doc_id are one vertex.
@@ -225,7 +244,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     key = ["print_a", "print_b", "n_shingles"]
     groups = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"))
     groups = stage(groups, "groups")
-    links = verified_links(docs, groups.select("rep", F.col("n_shingles").alias("n"), "signature"))
+    links = verified_links(docs, groups.select("rep", F.col("n_shingles").alias("n"), "signature"), percent)
     # rows that repeat a doc_id with other texts tie their groups together
     ids = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", *key).distinct()
     repeated = ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("doc_id")
@@ -239,9 +258,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def verified_links(docs: DataFrame, members: DataFrame) -> DataFrame:
+def verified_links(docs: DataFrame, members: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     """Links (a, b) between representatives that connect every pair found similar; full sets are confirmed."""
-    leaves = stage(_by_node(_leaves(members).select("node", "rep", "n", "signature", "tree", "small", "deep"), _with_candidates, _LEAF), "leaves")
+    rule = rule_of(percent)
+    held = _leaves(members, rule).select("node", "rep", "n", "signature", "tree", "small", "deep")
+    leaves = stage(_by_node(held, partial(_with_candidates, rule=rule), _LEAF), "leaves")
     needed = leaves.select(F.col("rep").alias("doc_id")).distinct()
     texts = documents_of(docs).join(needed, "doc_id", "left_semi")
 
@@ -255,10 +276,10 @@ def verified_links(docs: DataFrame, members: DataFrame) -> DataFrame:
 
     found = texts.mapInPandas(work, "rep long, shingles binary")
     full = leaves.join(found, "rep").where(F.length("shingles") == F.col("n") * 8)
-    return stage(_by_node(full.select("node", "rep", "n", "signature", "tree", "small", "deep", "shingles"), _linked, "a long, b long"), "links")
+    return stage(_by_node(full.select("node", "rep", "n", "signature", "tree", "small", "deep", "shingles"), partial(_linked, rule=rule), "a long, b long"), "links")
 
 
-def without_near_copies(docs: DataFrame) -> DataFrame:
+def without_near_copies(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that ``near_duplicates`` keeps, all columns as they were."""
-    dropped = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("__dropped_id")).distinct()
+    dropped = near_duplicates(docs, percent).where("NOT kept").select(F.col("doc_id").alias("__dropped_id")).distinct()
     return docs.join(dropped, F.col("doc_id").cast("long") == F.col("__dropped_id"), "left_anti")
