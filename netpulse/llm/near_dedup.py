@@ -1,20 +1,23 @@
 """Near-duplicate documents by a chosen-path set similarity join.
 
 Equal shingle sets are first reduced to one representative.  Then independent
-trees branch the representatives: the root of tree r parts them by the r-th
-minwise value, a node above ``NODE_LIMIT`` rows is parted again by one or two
-further values that a hash of its path selects, and nodes of one row end.  A
-similar pair shares each value with a probability equal to its similarity, so it
-stays together in most trees, while unrelated rows soon part.  Rows of a small
-node are compared exhaustively: by signatures first, then on their full sets.
-Links that survive are contracted to components.
+trees part the representatives by one minwise value each.  A similar pair shares
+a value with a probability equal to its similarity, so it meets in some tree but
+for ``MISS``.  What happens inside a part loses nothing more, however large it is:
+parts up to ``NODE_LIMIT`` rows are compared exhaustively, larger ones are dealt
+into blocks by size and hash of which every two that can hold a pair meet, and
+parts of very many blocks are first split by bands of the signature where that
+makes fewer rows.  There are more bands than values in which a candidate pair may
+differ, so it agrees on one.
+Rows are compared by signatures first, then on their full sets.  Links that
+survive are contracted to components.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
-from math import comb
+from math import comb, log
 from typing import NamedTuple
 
 import numpy as np
@@ -27,10 +30,13 @@ from netpulse.llm.common import documents_of, grouped_batches, partitions, ship_
 from netpulse.llm.components import connected_components
 from netpulse.llm.shingles import COORDINATES, chunked, shingle_sets, summaries
 
-# Least similarity in percent where none is given, rows of a node compared exhaustively, levels below the root.
+# Least similarity in percent where none is given, rows of a node compared as it is, levels of bands below the root.
 SIMILARITY = 85
 NODE_LIMIT = 512
 LEVELS = 16
+# Rows of a block in units of NODE_LIMIT, blocks of a node from which bands split it first.
+BLOCK = 2
+MANY_BLOCKS = 32
 # Share of the pairs at just the least similarity that may part in all trees, and again that may fall below the cut.
 MISS = 3e-7
 
@@ -42,6 +48,10 @@ class Rule(NamedTuple):
     trees: int
     least_shared: int
 
+    @property
+    def bands(self) -> int:
+        return COORDINATES - self.least_shared + 1
+
 
 def rule_of(percent: int) -> Rule:
     """The fewest trees and the highest cut that each lose at most ``MISS`` of the pairs at ``percent``."""
@@ -73,61 +83,77 @@ def _value(signature: Column, coordinate: Column) -> Column:
     return F.substring(signature, coordinate * 4 + 1, F.lit(4))
 
 
+def _counted(rows: DataFrame) -> DataFrame:
+    """``rows`` of nodes of two or more, with the node's size and, where crowded, its rows by size class."""
+    counts = rows.groupBy("node", "class").agg(F.count(F.lit(1)).alias("c"))
+    held = counts.groupBy("node").agg(F.sum("c").alias("size"), F.map_from_entries(F.collect_list(F.struct("class", "c"))).alias("held"))
+    kept = held.where("size > 1").withColumn("held", F.when(F.col("size") > NODE_LIMIT, F.col("held")))
+    return rows.join(kept, "node")
+
+
+def _blocks(crowded: DataFrame) -> DataFrame:
+    """Rows of crowded nodes, dealt so that every two blocks of the same or neighbouring size classes meet in a node."""
+
+    def number(of: Column) -> Column:
+        """Blocks of a size class; classes come as ``held`` counts them."""
+        return F.ceil(F.coalesce(F.try_element_at("held", of), F.lit(0)) / (BLOCK * NODE_LIMIT)).cast("long")
+
+    def code(of: Column, block: Column) -> Column:
+        return of.cast("long") * (1 << 32) + block
+
+    near = F.filter(F.array(*[F.col("class") + k for k in (-1, 0, 1)]), lambda c: F.try_element_at("held", c).isNotNull())
+    others = F.flatten(F.transform(near, lambda c: F.transform(F.sequence(F.lit(0).cast("long"), number(c) - 1), lambda b: code(c, b))))
+    dealt = crowded.withColumn("own", code(F.col("class"), F.pmod(F.xxhash64("rep", "node"), number(F.col("class")))))
+    met = dealt.withColumn("other", F.explode(others))
+    met = met.withColumn("node", F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")))
+    return met.withColumn("side", F.when(F.col("own") == F.col("other"), -1).otherwise((F.col("own") > F.col("other")).cast("int")))
+
+
 def _leaves(members: DataFrame, rule: Rule) -> DataFrame:
-    """(node, rep, n, signature, tree, small) of all nodes that are compared exhaustively.
+    """(node, rep, n, signature, tree, side) of all nodes that are compared exhaustively.
 
-    ``members`` holds rep, n and signature.  ``small`` is a bit per tree whose root
-    part of this representative is compared as it is: a pair is compared only in
-    the first such tree that it shares, and in lower nodes only if there is none.
+    ``members`` holds rep, n and signature.  ``side`` is -1, or 0 and 1 where only
+    rows of different sides are to be compared.  Two rows that can reach the least
+    similarity have size classes at most one apart.
     """
-    members = members.where("n > 0")
-    rooted = members.select("rep", "n", "signature", F.explode(F.sequence(F.lit(0), F.lit(rule.trees - 1))).alias("tree"))
-    rooted = rooted.select("tree", "rep", F.xxhash64("tree", _value(F.col("signature"), F.col("tree"))).alias("node"))
-    sizes = rooted.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    shared = stage(rooted.join(sizes, "node"), "roots")
-    small = shared.groupBy("rep").agg(F.sum(F.when(F.col("size") <= NODE_LIMIT, F.pow(F.lit(2), F.col("tree"))).otherwise(0)).cast("int").alias("small"))
-    described = members.join(small, "rep")
-    rows = stage(shared.join(described, "rep"), "members")
-    leaves = rows.where(F.col("size") <= NODE_LIMIT).drop("size").withColumn("deep", F.lit(False))
-    crowded = rows.where(F.col("size") > NODE_LIMIT).drop("size")
-
-    def chosen(k: int) -> Column:
-        return F.pmod(F.xxhash64("node", F.lit(k)), F.lit(COORDINATES - rule.trees)).cast("int") + rule.trees
-
-    for _ in range(LEVELS):
-        if not crowded.take(1):
-            return leaves
-        # 1 / similarity children on average: a pair at the least similarity keeps one shared path a level, others die out
-        second = F.when(F.pmod(F.xxhash64("node", F.lit(3)), F.lit(rule.percent)) < 100 - rule.percent, chosen(2))
-        paths = F.array_distinct(F.filter(F.array(chosen(1), second), lambda c: c.isNotNull()))
-        branched = crowded.withColumn("coordinate", F.explode(paths))
-        branched = branched.withColumn("node", F.xxhash64("node", "coordinate", _value(F.col("signature"), F.col("coordinate")))).drop("coordinate")
-        branched = stage(branched, "branched")
-        sizes = branched.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        rows = stage(branched.join(sizes, "node"), "members")
-        leaves = leaves.unionByName(rows.where(F.col("size") <= NODE_LIMIT).drop("size").withColumn("deep", F.lit(True)))
-        crowded = rows.where(F.col("size") > NODE_LIMIT).drop("size")
-
-    # Rows that no value parts: every two blocks of such a node meet in a node of their own.
-    half = NODE_LIMIT // 2
-    if crowded.take(1):
-        sizes = crowded.groupBy("node").agg(F.ceil(F.count(F.lit(1)) * 2 / half).cast("int").alias("blocks"))
-        dealt = crowded.join(sizes, "node").withColumn("block", F.pmod(F.xxhash64("rep", "node"), F.col("blocks")).cast("int"))
-        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        met = dealt.withColumn("other", other)
-        met = met.withColumn("node", F.xxhash64("node", F.least("block", "other"), F.greatest("block", "other")))
-        leaves = leaves.unionByName(met.drop("blocks", "block", "other").withColumn("deep", F.lit(True)))
-    return leaves
-
-
-def _candidates(node: np.ndarray, n: np.ndarray, small: np.ndarray, tree: np.ndarray, deep: np.ndarray, values: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    columns = ["node", "rep", "n", "signature", "tree", "side"]
+    width = 1.0001 * -log(rule.percent / 100)
+    members = members.where("n > 0").withColumn("class", F.floor(F.log(F.col("n").cast("double")) / width).cast("int"))
+    rooted = members.select("rep", "class", "signature", F.explode(F.sequence(F.lit(0), F.lit(rule.trees - 1))).alias("tree"))
+    rooted = rooted.select("tree", "rep", "class", F.xxhash64("tree", _value(F.col("signature"), F.col("tree"))).alias("node"))
+    shared = stage(_counted(rooted), "roots")
+    rows = stage(shared.join(members.drop("class"), "rep").withColumn("side", F.lit(-1)), "members")
+    leaves = rows.where(F.col("size") <= NODE_LIMIT).select(*columns)
+
+    block = BLOCK * NODE_LIMIT
+    for level in range(LEVELS):
+        crowded = rows.where(F.col("size") > NODE_LIMIT)
+        many = crowded.where(F.col("size") > MANY_BLOCKS * block)
+        if not many.take(1):
+            break
+        order = np.random.default_rng(level).permutation(COORDINATES).tolist()
+        paths = [
+            F.xxhash64("node", F.lit(band), *[_value(F.col("signature"), F.lit(c)) for c in order[band :: rule.bands]])
+            for band in range(rule.bands)
+        ]
+        parts = many.select("node", "size", F.explode(F.array(*paths)).alias("path")).groupBy("node", "size", "path").agg(F.count(F.lit(1)).cast("double").alias("c"))
+        costs = parts.groupBy("node", "size").agg(F.sum(F.greatest(F.col("c"), F.col("c") * F.col("c") / block)).alias("cost"))
+        worth = stage(costs.where(F.col("cost") < F.col("size").cast("double") * F.col("size") / block).select("node"), "worth")
+        leaves = leaves.unionByName(_blocks(crowded.join(worth, "node", "left_anti")).select(*columns))
+        banded = many.join(worth, "node", "left_semi").drop("size", "held").withColumn("node", F.explode(F.array(*paths)))
+        rows = stage(_counted(stage(banded, "banded")), "members")
+        leaves = leaves.unionByName(rows.where(F.col("size") <= NODE_LIMIT).select(*columns))
+    return leaves.unionByName(_blocks(rows.where(F.col("size") > NODE_LIMIT)).select(*columns))
+
+
+def _candidates(c: dict[str, np.ndarray], rule: Rule) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row pairs (i < j) of equal nodes that can reach the least similarity, with the values they share.
 
     Rows come sorted by node; offset by offset, each row is held against the row
-    that stands so far behind it.
+    that stands so far behind it.  A pair counts only in the first tree it shares.
     """
+    node, n, tree, side, values = c["node"], c["n"], c["tree"], c["side"], c["values"]
     left, right, shared = [], [], []
-    bits = 1 << np.arange(rule.trees)
     at = np.arange(len(node))
     for k in range(1, len(node)):
         at = at[: np.searchsorted(at, len(node) - k)]
@@ -136,13 +162,12 @@ def _candidates(node: np.ndarray, n: np.ndarray, small: np.ndarray, tree: np.nda
             break
         i, j = at, at + k
         fits = np.maximum(n[i], n[j]) * rule.percent <= np.minimum(n[i], n[j]) * 100
+        fits &= (side[i] < 0) | (side[i] != side[j])
         i, j = i[fits], j[fits]
         same = (values[i] == values[j]).sum(1)
         likely = same >= rule.least_shared
         i, j, same = i[likely], j[likely], same[likely]
-        # shared root parts that are compared as they are, and among them those of earlier trees
-        met = (values[i, : rule.trees] == values[j, : rule.trees]) & ((small[i][:, None] & bits) > 0)
-        met &= deep[i][:, None] | (np.arange(rule.trees)[None, :] < tree[i][:, None])
+        met = (values[i, : rule.trees] == values[j, : rule.trees]) & (np.arange(rule.trees)[None, :] < tree[i][:, None])
         own = ~met.any(1)
         left.append(i[own])
         right.append(j[own])
@@ -153,16 +178,14 @@ def _candidates(node: np.ndarray, n: np.ndarray, small: np.ndarray, tree: np.nda
 
 
 def _columns(table: pa.Table) -> dict[str, np.ndarray]:
-    out = {c: table.column(c).to_numpy() for c in ("node", "rep", "n", "small", "tree")}
-    out["deep"] = np.array(table.column("deep").to_pylist(), bool)
+    out = {c: table.column(c).to_numpy() for c in ("node", "rep", "n", "tree", "side")}
     out["values"] = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(table.num_rows, COORDINATES)
     return out
 
 
 def _with_candidates(table: pa.Table, rule: Rule) -> pa.Table:
     """The rows that have a candidate pair in their node."""
-    c = _columns(table)
-    i, j, _ = _candidates(c["node"], c["n"], c["small"], c["tree"], c["deep"], c["values"], rule)
+    i, j, _ = _candidates(_columns(table), rule)
     mask = np.zeros(table.num_rows, bool)
     mask[i], mask[j] = True, True
     return table.filter(pa.array(mask))
@@ -172,7 +195,7 @@ def _linked(table: pa.Table, rule: Rule) -> pa.Table:
     """A spanning forest (a, b) of the links that full sets confirm, node by node."""
     c = _columns(table)
     sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
-    i, j, shared = _candidates(c["node"], c["n"], c["small"], c["tree"], c["deep"], c["values"], rule)
+    i, j, shared = _candidates(c, rule)
     order = np.lexsort((-shared, c["node"][i]))
     i, j = i[order], j[order]
     parent = list(range(table.num_rows))
@@ -226,7 +249,7 @@ def _by_node(rows: DataFrame, work, schema: str) -> DataFrame:
     return dealt.mapInArrow(lambda batches: grouped_batches(batches, "node", work), schema)
 
 
-_LEAF = "node long, rep long, n long, signature binary, tree int, small int, deep boolean"
+_LEAF = "node long, rep long, n long, signature binary, tree int, side int"
 
 
 def near_duplicates(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
@@ -261,8 +284,7 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
 def verified_links(docs: DataFrame, members: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     """Links (a, b) between representatives that connect every pair found similar; full sets are confirmed."""
     rule = rule_of(percent)
-    held = _leaves(members, rule).select("node", "rep", "n", "signature", "tree", "small", "deep")
-    leaves = stage(_by_node(held, partial(_with_candidates, rule=rule), _LEAF), "leaves")
+    leaves = stage(_by_node(_leaves(members, rule), partial(_with_candidates, rule=rule), _LEAF), "leaves")
     needed = leaves.select(F.col("rep").alias("doc_id")).distinct()
     texts = documents_of(docs).join(needed, "doc_id", "left_semi")
 
@@ -276,7 +298,7 @@ def verified_links(docs: DataFrame, members: DataFrame, percent: int = SIMILARIT
 
     found = texts.mapInPandas(work, "rep long, shingles binary")
     full = leaves.join(found, "rep").where(F.length("shingles") == F.col("n") * 8)
-    return stage(_by_node(full.select("node", "rep", "n", "signature", "tree", "small", "deep", "shingles"), partial(_linked, rule=rule), "a long, b long"), "links")
+    return stage(_by_node(full.select("node", "rep", "n", "signature", "tree", "side", "shingles"), partial(_linked, rule=rule), "a long, b long"), "links")
 
 
 def without_near_copies(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:

@@ -132,3 +132,21 @@ def test_near_stage_takes_80_percent(spark, sf_dir):
 def test_near_rule():
     """At 80 a cut of 40 of 64 would lose 3.5e-4 of the pairs."""
     assert near_dedup.rule_of(85)[1:] == (8, 38) and near_dedup.rule_of(80)[1:] == (10, 33)
+
+
+# a third of the words and more in common: blocks; a few: bands, which then make fewer rows
+@pytest.mark.parametrize("common, many", [(88, 32), (88, 0), (8, 0), (8, 1000)])
+def test_near_pairs_in_crowded_nodes(spark, monkeypatch, common, many):
+    """Pairs at just 85 percent (102 of 120 shingles) where every root node holds all rows, which share a passage."""
+    monkeypatch.setattr(near_dedup, "NODE_LIMIT", 16)
+    monkeypatch.setattr(near_dedup, "MANY_BLOCKS", many, raising=False)
+    rows = []
+    for i in range(400):
+        text = [f"c{k}" for k in range(common + 4)] + [f"u{i}x{k}" for k in range(111 - common)]
+        rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(text[:106] + [f"v{i}x{k}" for k in range(9)]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    signed = near_dedup.signatures(docs)
+    alike = "concat(X'" + "07" * 4 * near_dedup.rule_of(85).trees + "', substring(signature, 33, 1000))"
+    members = signed.selectExpr("doc_id AS rep", "n_shingles AS n", f"{alike} AS signature")
+    found = {tuple(sorted(r)) for r in near_dedup.verified_links(docs, near_dedup.stage(members, "alike")).collect()}
+    assert found == {(2 * i, 2 * i + 1) for i in range(400)}
