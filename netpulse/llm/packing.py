@@ -37,15 +37,17 @@ class Encoder:
     """Token ids of the vocabulary file ``path`` (the tokenizers library's JSON).
 
     With ``ranks`` (the same vocabulary as a tiktoken file and its split pattern)
-    texts of ordinary Latin characters take the faster library; all others, and
-    texts with very long unbroken stretches, take the tokenizers library.
+    texts of ordinary Latin characters take the faster library; all others, texts
+    with very long unbroken stretches, and texts that hold the string of one of the
+    file's added tokens, take the tokenizers library.
     """
 
     def __init__(self, path: str, ranks: tuple[str, str] | None):
         from tokenizers import Tokenizer
 
         self.slow = Tokenizer.from_file(path)
-        self.slow.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = [t.content for t in self.slow.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.fast = None
         if ranks:
             import tiktoken
@@ -55,7 +57,8 @@ class Encoder:
             self.fast = tiktoken.Encoding("ranks", pat_str=ranks[1], mergeable_ranks=table, special_tokens={})
 
     def ids(self, text: str) -> list[int]:
-        if self.fast and not _PLAIN.search(text) and (len(text) < 2000 or max(map(len, text.split()), default=len(text)) < 2000):
+        added = self.added is not None and self.added.search(text)
+        if self.fast and not added and not _PLAIN.search(text) and (len(text) < 2000 or max(map(len, text.split()), default=len(text)) < 2000):
             return self.fast.encode_ordinary(text)
         return self.slow.encode(text, add_special_tokens=False).ids
 

@@ -10,7 +10,7 @@ import brute
 import compare
 import corpus_pipeline
 from netpulse.llm.catalog import ORACLES, QUERIES, public_vocabulary
-from netpulse.llm import near_dedup, suffix_dedup
+from netpulse.llm import near_dedup, packing, suffix_dedup
 
 
 @pytest.fixture(scope="module")
@@ -150,3 +150,15 @@ def test_near_pairs_in_crowded_nodes(spark, monkeypatch, common, many):
     members = signed.selectExpr("doc_id AS rep", "n_shingles AS n", f"{alike} AS signature")
     found = {tuple(sorted(r)) for r in near_dedup.verified_links(docs, near_dedup.stage(members, "alike")).collect()}
     assert found == {(2 * i, 2 * i + 1) for i in range(400)}
+
+
+def test_packing_of_added_tokens(spark):
+    """Strings of the file's added tokens get the ids that the file gives them."""
+    from tokenizers import Tokenizer
+
+    texts = [(1, "end <|endoftext|> begin"), (2, "<|endoftext|>" * 3), (3, "no <|endoftext| > here"), (4, "日本 <|endoftext|>"), (5, "plain words")]
+    tokenizer = Tokenizer.from_file(public_vocabulary()[0])
+    expected = {d: [*tokenizer.encode(t, add_special_tokens=False).ids, 0] for d, t in texts}
+    assert len(expected[1]) == 5
+    pieces = packing.token_pieces(spark.createDataFrame(texts, "doc_id long, text string"), *public_vocabulary())
+    check_packed(packing.pack(pieces).collect(), expected)
