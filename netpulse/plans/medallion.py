@@ -49,9 +49,12 @@ def build_gold(spark: SparkSession, names: Names = Names(), partition_by: list[s
 
 
 def compare_failure_models(
-    gold: DataFrame, trees: int = fixed.BOOSTING["trees"], sample: int | None = fixed.EXPLAIN_SAMPLE
+    gold: DataFrame, trees: int = fixed.BOOSTING["trees"], sample: int | None = None
 ) -> dict[str, DataFrame]:
-    """Train both next-observations models and report on the later fifth of the data."""
+    """Train both next-observations models and report on the later fifth of the data.
+
+    Every row of it is explained; with ``sample``, at most so many.
+    """
     split = targets.time_split(stage(targets.rows_model_frame(gold), "rows_model"))
     train, test = targets.train_part(split), targets.test_part(split)
     logistic = models.fit_logistic(train, fixed.ROWS_MODEL_FEATURES)

@@ -112,3 +112,11 @@ def test_whole_chain(spark, sf_dir, tmp_path):
     assert {name: frame.count() > 0 for name, frame in reports.items() if name != "risk_drivers"} == {
         name: True for name in reports if name != "risk_drivers"
     }
+
+
+def test_explanations_cover_all_test_rows(spark, sf_dir, monkeypatch):
+    seen, real = [], medallion.explain.tree_shap
+    monkeypatch.setattr(medallion.explain, "tree_shap", lambda model, rows: seen.append(rows.count()) or real(model, rows))
+    monkeypatch.setattr(medallion.anomaly, "sample_cap", lambda rows, most: rows.limit(10))
+    medallion.compare_failure_models(inputs.gold(spark, sf_dir), trees=1)
+    assert seen == [medallion.targets.test_part(inputs.rows_split(spark, sf_dir)).count()] and seen[0] > 10
