@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netpulse.llm import exact_dedup, exact_topk, licences, mixing, near_dedup, packing, personal, quality, suffix_dedup, toxicity
+from netpulse.llm import cover_tree, exact_dedup, exact_topk, licences, mixing, near_dedup, packing, personal, quality, suffix_dedup, token_alignment, toxicity, whitening
 from netpulse.llm.common import crc_share, read
 
 
@@ -67,6 +67,23 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(read(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path, (ranks, pattern) = public_vocabulary()
+    vocabularies = token_alignment.Vocabularies(path, public_tokenizers.path("piece_bpe_32k.model"), ranks, pattern)
+    return token_alignment.align_tokens(read(spark, sf_dir, "documents"), vocabularies)
+
+
+def op13_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
@@ -78,6 +95,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_personal_data": op9_personal_data,
     "op10_near_dedup": op10_near_dedup,
+    "op11_whitening": op11_whitening,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_near_vectors": op13_near_vectors,
 }
 
 ORACLES: dict[str, str] = {
