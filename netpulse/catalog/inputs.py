@@ -16,13 +16,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from netpulse import fixed
 from netpulse.operators import anomaly, cleaning, explain, forecast, models, risk, serving, targets
+from netpulse.operators.boosting import BoostedTrees
 from netpulse.plans.medallion import score_gold
 from netpulse.session import stage
 from netpulse.sources.telemetry import read_event_telemetry
 
-# Trees per boosted model in catalog queries; the library default is 200.
-CATALOG_TREES = 20
-
 _made: dict[tuple, object] = {}
 
 
@@ -76,10 +74,9 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @once
 def anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Anomaly table from the fixed raw score; two regions only, so that others stay unscored."""
+    """Anomaly table from the fixed raw score, over all regions."""
     inputs = cleaning.complete_rows(silver(spark, sf_dir), [*fixed.ANOMALY_IDS, *fixed.ANOMALY_FEATURES])
-    covered = inputs.filter(F.col("region").isin("Houston", "Dallas"))
-    return stage(anomaly.anomaly_results(covered.withColumn("raw_score", fixed_raw_score())), "anomalies")
+    return stage(anomaly.anomaly_results(inputs.withColumn("raw_score", fixed_raw_score())), "anomalies")
 
 
 @once
@@ -115,16 +112,14 @@ def logistic(spark: SparkSession, sf_dir: str) -> PipelineModel:
 
 
 @once
-def boosted(spark: SparkSession, sf_dir: str) -> PipelineModel:
-    return models.fit_boosted(targets.train_part(rows_split(spark, sf_dir)), trees=CATALOG_TREES)
+def boosted(spark: SparkSession, sf_dir: str) -> BoostedTrees:
+    return models.fit_boosted(targets.train_part(rows_split(spark, sf_dir)))
 
 
 @once
-def tracked(spark: SparkSession, sf_dir: str) -> PipelineModel:
+def tracked(spark: SparkSession, sf_dir: str) -> BoostedTrees:
     split = targets.time_split(range_frame(spark, sf_dir))
-    return models.fit_boosted(
-        targets.train_part(split), fixed.MODEL_FEATURES, depth=fixed.BOOSTING["tracked_depth"], trees=CATALOG_TREES
-    )
+    return models.fit_boosted(targets.train_part(split), fixed.MODEL_FEATURES, depth=fixed.BOOSTING["tracked_depth"])
 
 
 @once

@@ -100,7 +100,7 @@ LAYERS = {
     "scored": f"SELECT {IDS}, {FEATURES}, {PROBABILITY} AS failure_probability FROM gold WHERE {_all_present(IDS + ', ' + FEATURES)}",
     "raw_scored": f"SELECT *, {RAW_SCORE} AS raw_score FROM silver",
     "covered": f"""SELECT {ANOMALY_COLUMNS}, raw_score, min(raw_score) OVER () AS low, max(raw_score) OVER () AS high
-        FROM raw_scored WHERE region IN ('Houston', 'Dallas')""",
+        FROM raw_scored WHERE {_all_present(ANOMALY_COLUMNS)}""",
     "anomalies": f"""SELECT {ANOMALY_COLUMNS}, {_half_even('(raw_score - low) / (high - low) * 100.0')} AS anomaly_score,
         CASE WHEN raw_score > (SELECT quantile_cont(raw_score, 0.99) FROM covered) THEN 1 ELSE 0 END AS is_anomaly FROM covered""",
     "leveled": f"""SELECT *, {_half_even('failure_probability * 100.0')} AS failure_risk_pct, {LEVEL} AS risk_level FROM scored""",

@@ -199,7 +199,6 @@ ISOLATION_TREES = 200
 ISOLATION_SAMPLE = 256
 CONTAMINATION = 0.01
 EXPLAIN_SAMPLE = 5000
-ANOMALY_SAMPLE = 100_000
 
 MIN_HISTORY_HOURS = 48
 HORIZON_HOURS = 24

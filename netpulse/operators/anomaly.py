@@ -10,38 +10,25 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from netpulse import fixed
 from netpulse import functions as fn
-from netpulse.operators.cleaning import complete_rows
 from netpulse.operators.ordering import exact_percentiles
-from netpulse.session import ship_package
+from netpulse.operators.sampling import DIGEST, in_shares, sample_cap, spare, with_digest
+from netpulse.session import ship_package, stage
+
+__all__ = ["anomaly_results", "average_path", "fit_isolation_forest", "flag_anomalies", "minmax_score", "sample_cap", "score_isolation_forest"]
 
 EULER_GAMMA = 0.5772156649015329
 TREE_SCHEMA = "tree int, sample int, node int, feature int, threshold double, left int, right int, path double"
 
 
-def _spare(rows: int) -> float:
-    """A few more than ``rows``: thinning to this expectation practically never leaves fewer."""
-    return float(rows + 6 * math.isqrt(rows) + 50)
-
-
-def sample_cap(df: DataFrame, cap: int, seed: int = fixed.SEED) -> DataFrame:
-    """Uniform sample without replacement of at most ``cap`` rows, seeded.
-
-    Every row draws on its own, copies too.  A threshold first thins the rows
-    to a little over ``cap``, so only a bounded number is ever sorted; frames
-    within the cap are returned whole.
-    """
-    total = df.agg(F.count(F.lit(1))).scalar()
-    drawn = df.withColumn("__draw", F.rand(seed)).filter(F.col("__draw") * total < F.lit(_spare(cap)))
-    return drawn.orderBy("__draw").limit(cap).drop("__draw")
-
-
 def average_path(n):
     """Mean unsuccessful-search depth in a binary tree of ``n`` points."""
     n = np.asarray(n, dtype=float)
@@ -77,38 +64,63 @@ def _grow(points: np.ndarray, rng: np.random.Generator, limit: int) -> list[tupl
     return nodes
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Scramble 64-bit numbers one to one."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def tree_samples(df: DataFrame, feats: list[str], trees: int, sample: int, seed: int) -> DataFrame:
+    """(tree, draw, features) of a little over ``sample`` rows per tree, the lowest draws of all rows.
+
+    A row's draw for a tree is a hash of its digest, its copy number and the tree.
+    Rows below the draw that ``sample`` rows are expected to stay under are kept where they
+    are; the lowest ones of such sets are the lowest of all, however the rows are dealt.
+    """
+    columns = [F.col(c).cast("double").alias(c) for c in feats]
+    inputs = with_digest(df).select(*columns, *DIGEST).dropna(how="any", subset=feats).where(~reduce(or_, [F.isnan(c) for c in feats]))
+    counted = inputs.groupBy(*DIGEST).agg(F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in feats])
+    counted = stage(counted, "distinct")
+    total = counted.agg(F.sum("copies")).first()[0] or 0
+    limit = np.uint64(min(2.0**64 - 2**11, spare(sample) / max(total, 1) * 2.0**64))
+    offsets = _mixed(np.arange(1, trees + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
+
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            copies = (frame["last"] - frame["first"] + 1).to_numpy()
+            row = np.repeat(np.arange(len(frame)), copies)
+            number = np.arange(len(row)) - np.repeat(np.cumsum(copies) - copies, copies) + frame["first"].to_numpy()[row]
+            first, second = (frame[c].to_numpy().view(np.uint64) for c in DIGEST)
+            name = _mixed(_mixed(first[row] ^ _mixed(second[row])) + number.astype(np.uint64))
+            for tree, offset in enumerate(offsets):
+                draws = _mixed(name ^ offset)
+                low = np.flatnonzero(draws <= limit)
+                if len(low):
+                    part = frame.loc[row[low], feats].reset_index(drop=True)
+                    part.insert(0, "draw", (draws[low] >> np.uint64(1)).astype(np.int64))
+                    part.insert(0, "tree", np.int32(tree))
+                    yield part
+
+    schema = "tree int, draw long, " + ", ".join(f"`{c}` double" for c in feats)
+    return in_shares(counted).select("first", "last", *DIGEST, *feats).mapInPandas(work, schema)
+
+
 def fit_isolation_forest(
     df: DataFrame, feats: list[str] | None = None, trees: int = fixed.ISOLATION_TREES,
     sample: int = fixed.ISOLATION_SAMPLE, seed: int = fixed.SEED,
 ) -> DataFrame:
     """Node table of ``trees`` isolation trees, each grown on ``sample`` rows drawn without replacement.
 
-    A bounded pool is shuffled and dealt to the trees; a pool too small for all
-    of them is shuffled again for each further set of trees.  No group holds
-    more than ``sample`` rows, and no task more than ``trees * sample``.
+    The forest depends on the rows and the seed alone, not on their partitioning.  A
+    tree's group holds a little over ``sample`` rows, whatever the data size.
     """
     feats = list(feats or fixed.ANOMALY_FEATURES)
     ship_package(df.sparkSession)
-    inputs = complete_rows(df, feats).select(*[F.col(c).cast("double").alias(c) for c in feats])
-    pool_size = min(inputs.count(), trees * sample)
-    at_once = max(1, pool_size // sample)
-    deals = math.ceil(trees / at_once)
-    drawn = (
-        sample_cap(inputs, trees * sample, seed)
-        .withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(deals - 1))))
-        .withColumn("draw", F.rand(seed + 1))
-        .withColumn("place", F.row_number().over(Window.partitionBy("deal").orderBy("draw")) - 1)
-        .filter(F.col("place") < at_once * sample)
-        .withColumn("tree", F.col("deal") * at_once + F.col("place") % at_once)
-        .filter(F.col("tree") < trees)
-        .select("tree", *feats)
-        # Little data but real work per tree: keep adaptive execution from merging the groups.
-        .repartition(min(trees, df.sparkSession.sparkContext.defaultParallelism), "tree")
-    )
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
         tree = int(group["tree"].iloc[0])
-        points = group[feats].to_numpy(dtype=float)
+        points = group.sort_values(["draw", *feats])[feats].to_numpy(dtype=float)[:sample]
         points = points[np.lexsort(points.T)]  # rows arrive in any order
         nodes = _grow(points, np.random.default_rng([seed, tree]), _height(len(points)))
         table = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "left", "right", "path"])
@@ -116,7 +128,9 @@ def fit_isolation_forest(
         table.insert(0, "tree", tree)
         return table
 
-    return drawn.groupBy("tree").applyInPandas(grow, TREE_SCHEMA)
+    # Little data but real work per tree: keep adaptive execution from merging the groups.
+    tasks = min(trees, df.sparkSession.sparkContext.defaultParallelism)
+    return tree_samples(df, feats, trees, sample, seed).repartition(tasks, "tree").groupBy("tree").applyInPandas(grow, TREE_SCHEMA)
 
 
 def _as_arrays(nodes: pd.DataFrame) -> list[tuple[np.ndarray, ...]]:

@@ -15,35 +15,17 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from netpulse.operators.boosting import BoostedTrees
 from netpulse.operators.cleaning import arg_max
-from netpulse.operators.models import feature_names, rank_importance
-from netpulse.session import ship_package, staging_path
+from netpulse.operators.models import rank_importance
+from netpulse.session import ship_package
 
 PREFIX = "shap_"
 BASE = "shap_base"
 
 
-def tree_nodes(model: PipelineModel) -> DataFrame:
-    """Nodes of a fitted tree ensemble, read from its saved form."""
-    spark = SparkSession.active()
-    path = staging_path(spark, "trees")
-    model.stages[-1].save(path)
-    weights = spark.read.parquet(f"{path}/treesMetadata").select(
-        F.col("_1").alias("treeID"), F.col("_3").alias("weight")
-    )
-    return spark.read.parquet(f"{path}/data").join(F.broadcast(weights), "treeID").select(
-        F.col("treeID").alias("tree"), F.col("nodeData.id").alias("node"), "weight",
-        F.col("nodeData.prediction").alias("prediction"),
-        F.get("nodeData.impurityStats", F.lit(0)).alias("cover"),
-        F.col("nodeData.leftChild").alias("left"), F.col("nodeData.rightChild").alias("right"),
-        F.col("nodeData.split.featureIndex").alias("feature"),
-        F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
-    )
-
-
 @lru_cache(maxsize=None)
 def _subsets(d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For d features: membership [subset, feature], containment [pattern, subset], Shapley weight [subset]."""
@@ -79,7 +61,7 @@ def _leaf_tables(nodes: pd.DataFrame) -> tuple[float, list[tuple]]:
             if node.left < 0:
                 features = sorted(path)
                 low, high, ratio = (np.array([path[f][i] for f in features]) for i in range(3))
-                value = 2.0 * node.weight * node.prediction  # log-odds are twice the margin
+                value = node.value
                 base += value * float(np.prod(ratio))
                 if features and value != 0.0:
                     leaves.append((np.array(features), low, high, _shapley_table(value, ratio)))
@@ -96,17 +78,18 @@ def _leaf_tables(nodes: pd.DataFrame) -> tuple[float, list[tuple]]:
     return base, leaves
 
 
-def tree_shap(model: PipelineModel, df: DataFrame) -> DataFrame:
+def tree_shap(model: BoostedTrees, df: DataFrame) -> DataFrame:
     """Add one ``shap_<feature>`` column per feature and ``shap_base``, in log-odds.
 
     ``shap_base`` plus the attributions is the log-odds of the predicted
     probability.  The tables depend on the model alone and are broadcast; rows
     are explained where they are.
     """
-    features = feature_names(model)
+    features = model.features
     ship_package(df.sparkSession)
     # Bounded by the model's size: trees * 2 ** (depth + 1) nodes.
-    base, leaves = _leaf_tables(tree_nodes(model).toPandas())
+    base, leaves = _leaf_tables(model.nodes())
+    base += model.base
     shared = df.sparkSession.sparkContext.broadcast(leaves)
     width = len(features)
 

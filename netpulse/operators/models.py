@@ -5,18 +5,17 @@ from __future__ import annotations
 import math
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, functions as F
 
 from netpulse import fixed
+from netpulse.operators.boosting import BoostedTrees, fit_boosted_trees
 from netpulse.operators.targets import TARGET, pos_weight
-from netpulse.session import ensure_checkpoint_dir
 
 WEIGHT = "class_weight"
-CHECKPOINT_EVERY = 10
 
 
 def fit_scaler(train: DataFrame, features: list[str]) -> DataFrame:
@@ -79,47 +78,31 @@ def fit_logistic(
 def fit_boosted(
     train: DataFrame, features: list[str] | None = None, label: str = TARGET,
     depth: int = fixed.BOOSTING["depth"], trees: int = fixed.BOOSTING["trees"], seed: int = fixed.SEED,
-) -> PipelineModel:
-    """Gradient-boosted trees, positives weighted by the class ratio.
+) -> BoostedTrees:
+    """Second-order boosted trees, positives weighted by the class ratio."""
+    ratio = pos_weight(train, label).select("scale_pos_weight").first()[0]
+    return fit_boosted_trees(train, features or fixed.ROWS_MODEL_FEATURES, label, ratio or 1.0, depth, trees, seed=seed)
 
-    The fit is iterative: MLlib caches its training points and checkpoints the
-    growing lineage in the session's shared folder.
-    """
-    features = features or fixed.ROWS_MODEL_FEATURES
-    ensure_checkpoint_dir(train.sparkSession)
-    ratio = pos_weight(train, label).select("scale_pos_weight").scalar()
-    weighted = train.withColumn(WEIGHT, F.when(F.col(label) == 1, ratio).otherwise(1.0))
-    boosting = GBTClassifier(
-        featuresCol="raw_features", labelCol=label, weightCol=WEIGHT, maxIter=trees, maxDepth=depth,
-        stepSize=fixed.BOOSTING["step"], subsamplingRate=fixed.BOOSTING["row_fraction"],
-        featureSubsetStrategy=str(fixed.BOOSTING["feature_fraction"]), seed=seed,
-        checkpointInterval=CHECKPOINT_EVERY,
-    )
-    return Pipeline(stages=[_assembler(features), boosting]).fit(weighted)
 
-
-def score(model: PipelineModel, df: DataFrame, threshold: float = fixed.DECISION_THRESHOLD) -> DataFrame:
+def score(model: PipelineModel | BoostedTrees, df: DataFrame, threshold: float = fixed.DECISION_THRESHOLD) -> DataFrame:
     """Add ``failure_probability`` and the left-closed ``prediction``."""
-    probability: Column = vector_to_array("probability")[1]
-    scored = model.transform(df).withColumn("failure_probability", probability)
+    if isinstance(model, BoostedTrees):
+        scored = model.score(df, "failure_probability")
+    else:
+        probability: Column = vector_to_array("probability")[1]
+        scored = model.transform(df).withColumn("failure_probability", probability)
     return scored.select(
         *df.columns, "failure_probability",
         F.when(F.col("failure_probability") >= threshold, 1).otherwise(0).alias("prediction"),
     )
 
 
-def feature_names(model: PipelineModel) -> list[str]:
-    return model.stages[0].getInputCols()
-
-
-def feature_importance(model: PipelineModel) -> DataFrame:
+def feature_importance(model: BoostedTrees) -> DataFrame:
     """Features of a tree model by falling importance: one row per feature."""
     from pyspark.sql import SparkSession
 
-    spark = SparkSession.active()
-    values = model.stages[-1].featureImportances.toArray()
-    rows = [(name, float(value)) for name, value in zip(feature_names(model), values)]
-    return rank_importance(spark.createDataFrame(rows, "feature string, importance double"), "importance")
+    rows = SparkSession.active().createDataFrame(list(model.importances().items()), "feature string, importance double")
+    return rank_importance(rows, "importance")
 
 
 def rank_importance(df: DataFrame, column: str, k: int | None = None) -> DataFrame:

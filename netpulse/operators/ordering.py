@@ -7,6 +7,11 @@ aggregations whose results are bounded, whatever the data size or skew.
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from netpulse.session import stage
@@ -14,6 +19,7 @@ from netpulse.session import stage
 SLICE, OFFSET = "__slice", "__offset"
 
 BINS_PER_E = 1000  # value bins per factor e
+FINE_BINS = 4096  # parts into which a bin that holds a wanted rank is cut
 
 
 def stage_in_order(df: DataFrame, *order: Column) -> DataFrame:
@@ -134,12 +140,58 @@ def _melted(df: DataFrame, columns: list[str]) -> DataFrame:
     return present.select("k", _bin(F.col("v")).alias("bin"), "v")
 
 
-def _ranks(fraction: float, n: Column, interpolate: bool) -> list[Column]:
+def _ranks(fraction: float, n: int, interpolate: bool) -> list[int]:
     """1-based ranks whose values make up a percentile: one, or two neighbours."""
     if not interpolate:
-        return [F.greatest(F.ceil(F.lit(fraction) * n), F.lit(1)).cast("bigint")]
-    lower = (F.floor(F.lit(fraction) * (n - 1)) + 1).cast("bigint")
-    return [lower, F.least(lower + 1, n)]
+        return [max(1, math.ceil(fraction * n))]
+    lower = math.floor(fraction * (n - 1)) + 1
+    return [lower, min(lower + 1, n)]
+
+
+@dataclass(frozen=True)
+class _Held:
+    """The values of a column that lie in [low, high]; ``before`` of the column's values are smaller."""
+
+    k: int
+    low: float
+    high: float
+    before: int
+
+
+def _coarse(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(k, bin, held, low, high, before, n): the bins of every column, in order."""
+    upto = Window.partitionBy("k").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    return _melted(df, columns).groupBy("k", "bin").agg(
+        F.count(F.lit(1)).alias("held"), F.min("v").alias("low"), F.max("v").alias("high")
+    ).withColumns({"before": F.coalesce(F.sum("held").over(upto), F.lit(0)), "n": F.sum("held").over(Window.partitionBy("k"))})
+
+
+def _finer(df: DataFrame, columns: list[str], opened: list[_Held]) -> DataFrame:
+    """(at, bin, held, low, high, before): the parts of the ``opened`` intervals, in order.
+
+    An interval is cut into parts of equal width, which keeps the values' order, so
+    its range shrinks by ``FINE_BINS`` and only counts per part are ever gathered.
+    """
+    cells = []
+    for i, h in enumerate(opened):
+        v = F.col(columns[h.k]).cast("double")
+        inside = v.between(h.low, h.high) & ~F.isnan(v)
+        part = F.least(F.floor((v - h.low) / F.lit(h.high - h.low) * FINE_BINS), F.lit(FINE_BINS - 1))
+        cells.append(F.when(inside, F.struct(F.lit(i).alias("at"), part.cast("int").alias("bin"), v.alias("v"))))
+    present = df.select(F.explode(F.filter(F.array(*cells), lambda c: c.isNotNull())).alias("c")).select("c.*")
+    upto = Window.partitionBy("at").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    return present.groupBy("at", "bin").agg(
+        F.count(F.lit(1)).alias("held"), F.min("v").alias("low"), F.max("v").alias("high")
+    ).withColumn("before", F.coalesce(F.sum("held").over(upto), F.lit(0)))
+
+
+def _holding(ranks: dict[int, list[int]], key: str) -> Column:
+    """Rows of a counted frame that hold one of a key's ranks."""
+    held = [
+        (F.col(key) == k) & reduce(or_, [(F.col("before") < r) & (F.col("before") + F.col("held") >= r) for r in own])
+        for k, own in ranks.items()
+    ]
+    return reduce(or_, held)
 
 
 def exact_percentiles(
@@ -151,42 +203,45 @@ def exact_percentiles(
     share reaches the fraction; with it, linear between neighbouring ranks.
     NULL and NaN are left out; a column without values has no row.
 
-    Two lazy passes, neither of which gathers a column anywhere: counts per
-    bin, then counts per distinct value of just the bins that hold a wanted
-    rank.  Both combine map-side, and only bins, or the distinct values of one
-    bin, are ever sorted together.
+    A selection by repeated refinement: counts per bin of constant relative width
+    tell which bins hold the wanted ranks; those are cut finer, again and again, until
+    each holds one value.  Every pass combines map-side and gathers counts per bin only,
+    however the values lie; the bins that hold a rank reach the driver.
+
+    Runs a few jobs over the columns: pass a stored frame.
     """
-    values = _melted(df, columns)
-    upto = Window.partitionBy("k").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    counted = values.groupBy("k", "bin").agg(F.count(F.lit(1)).alias("held")).withColumns({
-        "upto": F.sum("held").over(upto), "n": F.sum("held").over(Window.partitionBy("k")),
-    })
-    ranks = [rank for fraction in fractions for rank in _ranks(fraction, F.col("n"), interpolate)]
-    # One row per column: n, and for every rank its bin and the rank inside that bin.
-    targets = counted.groupBy("k", "n").agg(*[
-        F.min(F.when(F.col("upto") >= rank, F.struct(
-            "bin", (rank - F.col("upto") + F.col("held")).alias("rank")
-        ))).alias(f"at{i}") for i, rank in enumerate(ranks)
-    ])
-    places = [F.col(f"at{i}.bin") for i in range(len(ranks))]
-    inside = values.join(F.broadcast(targets), "k").filter(F.col("bin").isin(*places))
-    so_far = Window.partitionBy("k", "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = inside.groupBy("k", "bin", "v").agg(F.count(F.lit(1)).alias("held")).withColumn(
-        "upto", F.sum("held").over(so_far)
-    )
-    found = ranked.join(F.broadcast(targets), "k").groupBy("k", "n").agg(*[
-        F.min(F.when((F.col("bin") == place) & (F.col("upto") >= F.col(f"at{i}.rank")), F.col("v"))).alias(f"v{i}")
-        for i, place in enumerate(places)
-    ])
-
-    def percentile(i: int, fraction: float) -> Column:
-        if not interpolate:
-            return F.col(f"v{i}")
-        first, second = F.col(f"v{2 * i}"), F.col(f"v{2 * i + 1}")
-        position = F.lit(fraction) * (F.col("n") - 1)
-        return first + (second - first) * (position - F.floor(position))
-
-    return found.select(
-        F.get(F.array(*[F.lit(name) for name in columns]), F.col("k")).alias("column"), "n",
-        F.array(*[percentile(i, fraction) for i, fraction in enumerate(fractions)]).alias("values"),
-    )
+    spark = df.sparkSession
+    schema = "column string, n bigint, values array<double>"
+    coarse = stage(_coarse(df, columns), "bins")
+    sizes = {r["k"]: r["n"] for r in coarse.groupBy("k").agg(F.max("n").alias("n")).collect()}
+    if not sizes:
+        return spark.createDataFrame([], schema)
+    wanted = {k: [r for f in fractions for r in _ranks(f, n, interpolate)] for k, n in sizes.items()}
+    values: dict[tuple[int, int], float] = {}
+
+    def placed(rows: list, opened: list[_Held] | None) -> dict[_Held, list[int]]:
+        """Note the ranks that are settled; the intervals of the others with their ranks inside."""
+        left: dict[_Held, list[int]] = {}
+        for row in rows:
+            k, before = (row["k"], row["before"]) if opened is None else (opened[row["at"]].k, opened[row["at"]].before + row["before"])
+            for rank in set(wanted[k]):
+                if before < rank <= before + row["held"]:
+                    if row["low"] == row["high"]:
+                        values[k, rank] = row["low"]
+                    else:
+                        left.setdefault(_Held(k, row["low"], row["high"], before), []).append(rank)
+        return left
+
+    left = placed(coarse.where(_holding(wanted, "k")).collect(), None)
+    while left:
+        opened = list(left)
+        ranks = {i: [r - h.before for r in left[h]] for i, h in enumerate(opened)}
+        left = placed(_finer(df, columns, opened).where(_holding(ranks, "at")).collect(), opened)
+
+    def percentile(k: int, fraction: float) -> float:
+        own = [values[k, r] for r in _ranks(fraction, sizes[k], interpolate)]
+        position = fraction * (sizes[k] - 1)
+        return own[0] if len(own) == 1 else own[0] + (own[1] - own[0]) * (position - math.floor(position))
+
+    found = [(columns[k], n, [percentile(k, f) for f in fractions]) for k, n in sorted(sizes.items())]
+    return spark.createDataFrame(found, schema)

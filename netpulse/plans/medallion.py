@@ -8,11 +8,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from netpulse import fixed
-from netpulse.operators import anomaly, cleaning, explain, forecast, metrics, models, quality, risk, serving, targets
+from netpulse.operators import anomaly, boosting, cleaning, explain, forecast, metrics, models, quality, risk, serving, targets
 from netpulse.session import short_lived_stages, stage
 from netpulse.sources import layers, runs
 
@@ -109,7 +108,7 @@ def train_tracked_model(
         return runs.log_run(
             spark, TRACKED_RUN,
             params={
-                "algorithm": "boosted trees", "prediction_horizon": "30_minutes",
+                "algorithm": "second-order boosted trees", "prediction_horizon": "30_minutes",
                 "split_strategy": "time_based_80_20", "decision_threshold": fixed.DECISION_THRESHOLD,
                 "feature_count": len(features), "trees": trees, "max_depth": fixed.BOOSTING["tracked_depth"],
                 "learning_rate": fixed.BOOSTING["step"], "subsample": fixed.BOOSTING["row_fraction"],
@@ -126,7 +125,7 @@ def train_tracked_model(
         )
 
 
-def score_gold(gold: DataFrame, model: PipelineModel) -> DataFrame:
+def score_gold(gold: DataFrame, model: boosting.BoostedTrees) -> DataFrame:
     """Failure probability of every complete gold observation."""
     return models.score(model, cleaning.complete_rows(gold, [*fixed.ID_COLUMNS, *fixed.MODEL_FEATURES]))
 

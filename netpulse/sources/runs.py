@@ -9,6 +9,8 @@ from datetime import datetime, timezone
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
+from netpulse.operators.boosting import BoostedTrees
+
 RUNS_TABLE = "model_runs"
 
 RUN_SCHEMA = T.StructType([
@@ -23,12 +25,19 @@ RUN_SCHEMA = T.StructType([
 EXAMPLE_ROWS = 5
 
 
-def save_model(model: PipelineModel, path: str) -> str:
-    model.write().overwrite().save(path)
+def save_model(model: PipelineModel | BoostedTrees, path: str) -> str:
+    if isinstance(model, BoostedTrees):
+        model.save(SparkSession.active(), path)
+    else:
+        model.write().overwrite().save(path)
     return path
 
 
-def load_model(path: str) -> PipelineModel:
+def load_model(path: str) -> PipelineModel | BoostedTrees:
+    spark = SparkSession.active()
+    trees = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/trees")
+    if trees.getFileSystem(spark._jsc.hadoopConfiguration()).exists(trees):
+        return BoostedTrees.load(spark, path)
     return PipelineModel.load(path)
 
 

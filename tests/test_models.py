@@ -84,24 +84,24 @@ def test_attributions_equal_the_definition(spark, train, boosted):
     """One row against Shapley's formula on the cover-weighted value function."""
     from itertools import combinations
 
-    nodes = explain.tree_nodes(boosted).toPandas()
+    nodes = boosted.nodes()
     row = train.orderBy("timestamp").first()
     x = [row[n] for n in FEATURES]
+    trees = [{n.node: n for n in tree.itertuples()} for _, tree in nodes.groupby("tree")]
 
     def value(known):
-        total = 0.0
-        for _, tree in nodes.groupby("tree"):
-            by_id = {n.node: n for n in tree.itertuples()}
+        total = boosted.base
+        for by_id in trees:
 
             def walk(n):
                 if n.left < 0:
-                    return n.prediction
+                    return n.value
                 left, right = by_id[n.left], by_id[n.right]
                 if n.feature in known:
                     return walk(left if x[n.feature] <= n.threshold else right)
                 return (left.cover * walk(left) + right.cover * walk(right)) / n.cover
 
-            total += 2.0 * by_id[0].weight * walk(by_id[0])
+            total += walk(by_id[0])
         return total
 
     used = sorted(set(int(f) for f in nodes[nodes["left"] >= 0]["feature"]))
@@ -158,6 +158,29 @@ def test_forest_is_bounded_and_reproducible(planted):
     assert len(per_tree) == 25 and all(r["leaves"] <= 64 for r in per_tree)
 
 
+@pytest.mark.parametrize("rows", [5, 300, 1505])
+def test_same_forest_and_sample_for_any_partitioning(planted, rows):
+    """A third of the rows are copies; a frame smaller than a tree's sample gives all its rows."""
+    held = stage(planted.orderBy(*fixed.ANOMALY_FEATURES).limit(rows))
+    forests, samples = set(), set()
+    for parts in (1, 4, 7):
+        df = held.repartition(parts)
+        forests.add(tuple(sorted(map(str, anomaly.fit_isolation_forest(df, trees=12).collect()))))
+        samples.add(tuple(sorted(map(str, anomaly.sample_cap(df, 200).collect()))))
+    assert len(forests) == len(samples) == 1
+    assert len(samples.pop()) == min(rows, 200) and f"sample={min(rows, 256)}," in forests.pop()[0]
+
+
+def test_often_repeated_rows_are_dealt_out(spark, monkeypatch):
+    from netpulse.operators import sampling
+
+    df = spark.createDataFrame([(1.0,)] * 700 + [(float(i),) for i in range(2, 302)], "v double").repartition(3)
+    whole = sorted(r.v for r in anomaly.sample_cap(df, 400).collect())
+    monkeypatch.setattr(sampling, "COPIES", 50)
+    assert sorted(r.v for r in anomaly.sample_cap(df, 400).collect()) == whole
+    assert 250 < whole.count(1.0) < 310  # 280 expected
+
+
 def test_constant_scores(spark):
     df = spark.createDataFrame([(1.0,), (1.0,)], "raw_score double")
     assert [r["anomaly_score"] for r in anomaly.minmax_score(df).collect()] == [0.0, 0.0]

@@ -1,5 +1,6 @@
 """Exact positions, running sums, cuts and percentiles, hot values included."""
 
+import math
 import random
 
 import numpy as np
@@ -7,6 +8,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from netpulse.operators import ordering, targets
+from netpulse.session import stage
 
 
 @pytest.fixture(scope="module")
@@ -93,3 +95,26 @@ def test_split_plan_has_no_shuffle(spark):
     df = frame(spark, [(f"2024-01-01 10:00:0{i}", "CELL_0001", i) for i in range(10)])
     plan = targets.time_split(df)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Window" not in plan
+
+
+def test_percentiles_of_crowded_values(spark, monkeypatch):
+    """A million distinct values inside one percent of the range: no pass gathers more than its parts."""
+    sizes, real = [], ordering._finer
+    monkeypatch.setattr(ordering, "_finer", lambda *a: sizes.append(real(*a).count()) or real(*a))
+    n = 1_000_000
+    df = spark.range(n).select((F.lit(1000.0) + F.col("id") / n * 10).alias("v"), F.when(F.col("id") < 3, F.col("id") * 1e300 - 1e300).alias("w"))
+    df = stage(df.union(spark.createDataFrame([(0.0, float("nan")), (2000.0, None)], "v double, w double")))
+    found = {r["column"]: r for r in ordering.exact_percentiles(df, ["v", "w"], [0.25, 0.5, 1.0]).collect()}
+    values = sorted([1000.0 + i / n * 10 for i in range(n)] + [0.0, 2000.0])
+    assert found["v"]["values"] == [values[math.ceil(f * len(values)) - 1] for f in (0.25, 0.5, 1.0)]
+    assert (found["w"]["n"], found["w"]["values"]) == (3, [-1e300, 0.0, 1e300])
+    assert sizes and max(sizes) <= 2 * ordering.FINE_BINS
+
+
+def test_percentiles_of_extreme_and_tied_values(spark):
+    values = [5e-324, -1.7e308, 1.7e308, 0.0, -0.0, 1.0, 1.0 + 2**-52, 1.0 + 2**-51, 1.0, -5e-324, 1e-320, 1e-320 + 5e-324] * 3
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    fractions = [0.0, 0.1, 0.3, 0.5, 0.7, 0.9, 1.0]
+    expected = [sorted(values)[max(1, math.ceil(f * len(values))) - 1] for f in fractions]
+    assert ordering.exact_percentiles(df, ["v"], fractions).first()["values"] == expected
+    assert ordering.exact_percentiles(df.limit(0), ["v"], fractions).collect() == []
