@@ -1,9 +1,9 @@
 """Will this cell fail soon?  Targets, chronological split and class balance.
 
-A window over a whole cell would put a busy cell's entire history into one
-task.  Histories are therefore cut into time slots, finer ones where a cell is
-very busy; the windows run per (cell, slot), and a small per-slot table says
-what comes after each slot.
+A window over a whole cell would put a busy cell's entire history into one task.
+Histories are therefore sorted once by (cell, time) into slices of about equal
+size, wherever cells and seconds begin; each slice is scanned on its own, and a
+small summary per (cell, slice) carries over what comes after the slice.
 """
 
 from __future__ import annotations
@@ -12,13 +12,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from netpulse import fixed
 from netpulse.operators.cleaning import complete_rows
-from netpulse.operators.ordering import first_rows
+from netpulse.operators.ordering import OFFSET, SLICE, first_rows, stage_in_order
 
 TARGET = "failure_next_30m"
 
-# Seconds per slot; slots with more than BUSY_ROWS observations are cut into fine ones.
-SLOT_SECONDS, FINE_SECONDS, BUSY_ROWS = 3600, 60, 2_000_000
-
 # Decide the order of observations a cell reports for the same instant.
 OBSERVATION_TIES = ["latency_ms", "throughput_mbps", "packet_loss_pct", "traffic_load_pct", "cpu_utilization_pct"]
 
@@ -27,102 +24,80 @@ def _failing() -> Column:
     return F.col("failure_event") == 1
 
 
-def _slot_start(seconds: int) -> Column:
-    return F.floor(F.unix_timestamp("timestamp") / seconds) * seconds
-
-
-def _busy_slots(df: DataFrame, slot_seconds: int, busy_rows: int) -> DataFrame:
-    """(cell, coarse slot) of more than ``busy_rows`` rows: no more of them than total rows / ``busy_rows``."""
-    counts = df.groupBy("cell_id", _slot_start(slot_seconds).alias("coarse")).agg(F.count(F.lit(1)).alias("size"))
-    return counts.filter(F.col("size") > busy_rows).select("cell_id", "coarse", F.lit(True).alias("busy"))
+def _earlier_slices() -> Window:
+    """A cell's slices before the present one: slices run from late to early, so these come after it in time."""
+    return Window.partitionBy("cell_id").orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _slotted(df: DataFrame, columns: list[str], busy: DataFrame, slot_seconds: int, fine_seconds: int) -> DataFrame:
-    """``columns`` and the slot, named by its first second; slots of a cell follow each other in time."""
-    slot = F.when(F.col("busy"), _slot_start(fine_seconds)).otherwise(F.col("coarse"))
-    rows = df.select(*columns, _slot_start(slot_seconds).alias("coarse"))
-    return rows.join(F.broadcast(busy), ["cell_id", "coarse"], "left").select(*columns, slot.alias("slot"))
+def _earlier_in_slice() -> Window:
+    return Window.partitionBy(SLICE, "cell_id").orderBy(OFFSET).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _later_slots() -> Window:
-    return Window.partitionBy("cell_id").orderBy(F.desc("slot")).rowsBetween(Window.unboundedPreceding, -1)
+def _latest_first(df: DataFrame, ties: list[str]) -> list[Column]:
+    """Cells, each from its last observation to its first; every other column breaks ties."""
+    rest = [c for c in df.columns if c not in ("cell_id", "timestamp", *ties)]
+    return [F.col("cell_id"), *[F.col(c).desc_nulls_last() for c in ("timestamp", *ties, *sorted(rest))]]
 
 
 def future_failure_rows(
-    df: DataFrame, n: int = fixed.ROWS_AHEAD, slot_seconds: int = SLOT_SECONDS, name: str = TARGET,
-    ties: list[str] | None = None, fine_seconds: int = FINE_SECONDS, busy_rows: int = BUSY_ROWS,
+    df: DataFrame, n: int = fixed.ROWS_AHEAD, name: str = TARGET, ties: list[str] | None = None,
 ) -> DataFrame:
     """1 when any of the cell's next ``n`` observations fails, else 0; NULL after the last one.
 
     Observations are counted from the end of the cell's history, so the
-    distance to the next failing one is a difference of two positions.
+    distance to the next failing one is a difference of two positions.  Those of
+    one instant follow each other by ``ties``, then by the other columns.
     """
     ties = [c for c in OBSERVATION_TIES if c in df.columns] if ties is None else ties
-    busy = _busy_slots(df, slot_seconds, busy_rows)
-    latest_first = [F.col(c).desc_nulls_last() for c in ("timestamp", *ties)]
-    in_slot = Window.partitionBy("cell_id", "slot").orderBy(*latest_first)
-    later = in_slot.rowsBetween(Window.unboundedPreceding, -1)
-
-    def placed(columns: list[str]) -> DataFrame:
-        """place: 1 for the slot's last observation."""
-        rows = _slotted(df, columns, busy, slot_seconds, fine_seconds)
-        return rows.withColumn("place", F.row_number().over(in_slot))
-
-    slots = placed(["cell_id", "timestamp", "failure_event", *ties]).groupBy("cell_id", "slot").agg(
-        F.count(F.lit(1)).alias("size"), F.max(F.when(_failing(), F.col("place"))).alias("first_failing"),
+    placed = stage_in_order(df, *_latest_first(df, ties))
+    slices = placed.groupBy("cell_id", SLICE).agg(
+        F.count(F.lit(1)).alias("size"), F.min(OFFSET).alias("first"),
+        F.max(F.when(_failing(), F.col(OFFSET))).alias("failing"),
     )
-    after = slots.withColumn("rows_after", F.coalesce(F.sum("size").over(_later_slots()), F.lit(0))).select(
-        "cell_id", "slot", "rows_after",
-        F.last(F.col("rows_after") + F.col("first_failing"), ignorenulls=True).over(_later_slots()).alias("failing_after"),
+    after = slices.withColumn("rows_after", F.coalesce(F.sum("size").over(_earlier_slices()), F.lit(0))).select(
+        F.col("cell_id").alias("of"), F.col(SLICE).alias("at"), "first", "rows_after",
+        F.last(F.col("rows_after") + F.col("failing") - F.col("first"), ignorenulls=True).over(_earlier_slices()).alias("failing_after"),
     )
-    position = F.col("rows_after") + F.col("place")
-    next_failing = F.coalesce(F.col("rows_after") + F.col("failing_place"), F.col("failing_after"))
+    seen = placed.withColumn("__failing", F.last(F.when(_failing(), F.col(OFFSET)), ignorenulls=True).over(_earlier_in_slice()))
+    position = F.col("rows_after") + F.col(OFFSET) - F.col("first")  # 0: the cell's last observation
+    next_failing = F.coalesce(F.col("rows_after") + F.col("__failing") - F.col("first"), F.col("failing_after"))
     soon = F.coalesce(position - next_failing <= n, F.lit(False))
-    return (
-        placed(df.columns)
-        .withColumn("failing_place", F.last(F.when(_failing(), F.col("place")), ignorenulls=True).over(later))
-        .join(after, ["cell_id", "slot"])
-        .select(*df.columns, F.when(position > 1, soon.cast("int")).alias(name))
-    )
+    joined = seen.join(after, F.col("cell_id").eqNullSafe(F.col("of")) & (F.col(SLICE) == F.col("at")))
+    return joined.select(*df.columns, F.when(position > 0, soon.cast("int")).alias(name))
 
 
-def future_failure_range(
-    df: DataFrame, sec: int = fixed.SECONDS_AHEAD, slot_seconds: int = SLOT_SECONDS, name: str = TARGET,
-    fine_seconds: int = FINE_SECONDS, busy_rows: int = BUSY_ROWS,
-) -> DataFrame:
+def future_failure_range(df: DataFrame, sec: int = fixed.SECONDS_AHEAD, name: str = TARGET) -> DataFrame:
     """1 when the cell fails within the next 1..``sec`` seconds, else 0; NULL when nothing is observed then.
 
-    Only the next observed and the next failing second matter.  Observations of
-    the same second do not see each other.
+    Only the next observed and the next failing second matter, so a cell's seconds are
+    reduced to one row each before they are sorted: a hot second does no harm, and
+    observations of the same second do not see each other.
     """
-    busy = _busy_slots(df, slot_seconds, busy_rows)
     second = F.unix_timestamp("timestamp")
-    later = (
-        Window.partitionBy("cell_id", "slot").orderBy(F.desc("second"))
-        .rangeBetween(Window.unboundedPreceding, -1)
+    seconds = (
+        df.where(F.col("timestamp").isNotNull()).groupBy("cell_id", second.alias("second"))
+        .agg(F.coalesce(F.max(_failing()), F.lit(False)).alias("failing"))
     )
-    narrow = _slotted(df, ["cell_id", "timestamp", "failure_event"], busy, slot_seconds, fine_seconds)
-    slots = narrow.groupBy("cell_id", "slot").agg(
-        F.min(second).alias("first_second"), F.min(F.when(_failing(), second)).alias("first_failing"),
+    placed = stage_in_order(seconds, F.col("cell_id"), F.col("second").desc())
+    slices = placed.groupBy("cell_id", SLICE).agg(
+        F.min("second").alias("first_second"), F.min(F.when(F.col("failing"), F.col("second"))).alias("first_failing"),
     )
-    after = slots.select(
-        "cell_id", "slot",
-        F.last("first_second").over(_later_slots()).alias("second_after"),
-        F.last("first_failing", ignorenulls=True).over(_later_slots()).alias("failing_after"),
+    after = slices.select(
+        F.col("cell_id").alias("of"), F.col(SLICE).alias("at"),
+        F.last("first_second").over(_earlier_slices()).alias("second_after"),
+        F.last("first_failing", ignorenulls=True).over(_earlier_slices()).alias("failing_after"),
     )
+    seen = placed.withColumns({
+        "later_second": F.last("second").over(_earlier_in_slice()),
+        "later_failing": F.last(F.when(F.col("failing"), F.col("second")), ignorenulls=True).over(_earlier_in_slice()),
+    })
     next_seen = F.coalesce("later_second", "second_after") - F.col("second")
     next_failing = F.coalesce("later_failing", "failing_after") - F.col("second")
     soon = F.coalesce(next_failing <= sec, F.lit(False))
-    return (
-        _slotted(df, df.columns, busy, slot_seconds, fine_seconds)
-        .withColumn("second", second)
-        .withColumns({
-            "later_second": F.last("second").over(later),
-            "later_failing": F.last(F.when(_failing(), F.col("second")), ignorenulls=True).over(later),
-        })
-        .join(after, ["cell_id", "slot"], "left")
-        .select(*df.columns, F.when(next_seen <= sec, soon.cast("int")).alias(name))
+    known = seen.join(after, F.col("cell_id").eqNullSafe(F.col("of")) & (F.col(SLICE) == F.col("at"))).select(
+        F.col("cell_id").alias("__cell"), F.col("second").alias("__second"), F.when(next_seen <= sec, soon.cast("int")).alias(name)
     )
+    return df.join(known, df["cell_id"].eqNullSafe(known["__cell"]) & (second == F.col("__second")), "left").select(*df.columns, name)
 
 
 def rows_model_frame(gold: DataFrame, n: int = fixed.ROWS_AHEAD) -> DataFrame:

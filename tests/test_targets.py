@@ -1,6 +1,7 @@
 """Future-failure targets against plain windows, on skewed and tied histories."""
 
 import random
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import Window, functions as F
@@ -24,29 +25,72 @@ def as_rows(df):
     return sorted(map(str, df.collect()))
 
 
-@pytest.mark.parametrize("n, slot, busy", [(1, 3600, 10**6), (6, 60, 10**6), (6, 3600, 20), (6, 86400, 0)])
-def test_next_rows(spark, n, slot, busy):
+@pytest.fixture
+def many_slices(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.mark.parametrize("n, parts", [(1, 1), (6, 4), (6, 7), (40, 13)])
+def test_next_rows(spark, many_slices, n, parts):
     df = history(spark)
     window = Window.partitionBy("cell_id").orderBy("timestamp", "latency_ms").rowsBetween(1, n)
     want = df.withColumn("target", F.max("failure_event").over(window))
-    assert as_rows(targets.future_failure_rows(df, n, slot, "target", busy_rows=busy)) == as_rows(want)
+    with shuffled(spark, parts):
+        assert as_rows(targets.future_failure_rows(df, n, "target")) == as_rows(want)
 
 
-@pytest.mark.parametrize("sec, slot, busy", [(1800, 3600, 10**6), (1800, 600, 10**6), (1800, 3600, 20), (1, 60, 0)])
-def test_next_seconds(spark, sec, slot, busy):
+@pytest.mark.parametrize("sec, parts", [(1800, 1), (1800, 4), (1800, 13), (1, 7)])
+def test_next_seconds(spark, many_slices, sec, parts):
     df = history(spark, 9)
     window = Window.partitionBy("cell_id").orderBy(F.unix_timestamp("timestamp")).rangeBetween(1, sec)
     want = df.withColumn("target", F.max("failure_event").over(window))
-    assert as_rows(targets.future_failure_range(df, sec, slot, "target", busy_rows=busy)) == as_rows(want)
-
-
-def test_busy_slots_are_cut_finer(spark):
-    df = history(spark)
-    busy = targets._busy_slots(df, 3600, 20)
-    sizes = targets._slotted(df, df.columns, busy, 3600, 60).groupBy("cell_id", "slot").count()
-    coarse = df.groupBy("cell_id", targets._slot_start(3600).alias("slot")).count()
-    largest = lambda counts: counts.agg(F.max("count")).first()[0]
-    assert busy.count() > 0 and largest(sizes) < largest(coarse)
+    with shuffled(spark, parts):
+        assert as_rows(targets.future_failure_range(df, sec, "target")) == as_rows(want)
+
+
+@contextmanager
+def shuffled(spark, parts):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_hot_cell_and_hot_second_are_spread(spark, many_slices):
+    """One cell holds 40 percent of the rows, half of them in one second: no slice holds much more than its share."""
+    rows = [(0 if i % 2 else i, "CELL_0001" if i % 5 < 2 else f"CELL_{i % 997:04d}", int(i % 11 == 0), float(i)) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "s long, cell_id string, failure_event int, latency_ms double")
+    df = df.select(F.timestamp_seconds("s").alias("timestamp"), "cell_id", "failure_event", "latency_ms")
+    with shuffled(spark, 10):
+        placed = targets.stage_in_order(df, *targets._latest_first(df, ["latency_ms"]))
+        sizes = [r["count"] for r in placed.groupBy(targets.SLICE).count().collect()]
+        assert len(sizes) == 10 and max(sizes) < 1.5 * sum(sizes) / len(sizes)
+        window = Window.partitionBy("cell_id").orderBy("timestamp", "latency_ms").rowsBetween(1, 6)
+        want = df.withColumn("target", F.max("failure_event").over(window))
+        assert as_rows(targets.future_failure_rows(df, 6, "target")) == as_rows(want)
+
+
+def test_tied_observations_follow_their_columns(spark, many_slices):
+    """Rows of one instant, equal in every tie column: the other columns order them, for any partitioning."""
+    rows = [(0, "A", int(i == 3), 5.0, f"s{i}") for i in range(9)] + [(0, "A", 0, 5.0, "s0")]
+    df = spark.createDataFrame(rows, "s long, cell_id string, failure_event int, latency_ms double, site_id string")
+    df = df.select(F.timestamp_seconds("s").alias("timestamp"), "cell_id", "failure_event", "latency_ms", "site_id")
+    found = set()
+    for parts in (1, 4, 7):
+        with shuffled(spark, parts):
+            found.add(tuple(as_rows(targets.future_failure_rows(df.repartition(parts), 2, "target"))))
+    assert len(found) == 1
+
+
+def test_missing_cells_and_instants(spark):
+    df = spark.createDataFrame([(None, "A", 1), (5, None, 0), (6, None, 1), (7, "A", 0)], "s long, cell_id string, failure_event int")
+    df = df.select(F.timestamp_seconds("s").alias("timestamp"), "cell_id", "failure_event")
+    got = {(r["cell_id"], r["failure_event"]): r["y"] for r in targets.future_failure_range(df, name="y").collect()}
+    assert got == {("A", 1): None, (None, 0): 1, (None, 1): None, ("A", 0): None}
+    got = {(r["cell_id"], r["failure_event"]): r["y"] for r in targets.future_failure_rows(df, name="y").collect()}
+    assert got == {("A", 1): 0, (None, 0): 1, (None, 1): None, ("A", 0): None}
 
 
 def small(spark, rows):
