@@ -116,7 +116,7 @@ def _valid_kpi(spark, sf_dir):
 
 @query("impute_median")
 def _impute_median(spark, sf_dir):
-    rows = cleaning.impute_median(cleaning.valid_rows(I.raw(spark, sf_dir)))
+    rows = cleaning.impute_median(stage(cleaning.valid_rows(I.raw(spark, sf_dir)), "valid"))
     return rows.select(*KEY, *fixed.IMPUTED_COLUMNS)
 
 

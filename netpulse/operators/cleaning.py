@@ -32,8 +32,13 @@ def valid_rows(df: DataFrame) -> DataFrame:
     The checks are plain column predicates, so Catalyst pushes them below the
     deduplicating shuffle: rejected rows are never exchanged.
     """
+    return valid_distinct(drop_exact_duplicates(df))
+
+
+def valid_distinct(distinct: DataFrame) -> DataFrame:
+    """The same for rows that are distinct already."""
     return (
-        parse_timestamp(drop_exact_duplicates(df).withColumn("region", fn.standardize_region()))
+        parse_timestamp(distinct.withColumn("region", fn.standardize_region()))
         .filter(F.col("timestamp").isNotNull())
         .filter(fn.valid_cell_id() & fn.valid_site_id())
         .filter(fn.valid_kpi())
@@ -100,7 +105,11 @@ def clean(raw: DataFrame) -> DataFrame:
     The deduplicated valid rows are staged: the medians then read a few narrow
     columns of them, and the one wide shuffle is not repeated.
     """
-    return add_features(impute_median(stage(valid_rows(raw), "valid")))
+    return finish_clean(valid_rows(raw))
+
+
+def finish_clean(valid: DataFrame) -> DataFrame:
+    return add_features(impute_median(stage(valid, "valid")))
 
 
 def build_gold(silver: DataFrame) -> DataFrame:

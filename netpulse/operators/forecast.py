@@ -16,9 +16,10 @@ from netpulse import fixed
 from netpulse import functions as fn
 from netpulse.operators.quality import require
 from netpulse.operators.reports import hourly_demand
-from netpulse.session import ship_package
+from netpulse.session import ship_package, stage
 
 NETWORK = "network"
+OK, GAPS, SHORT = "OK", "GAPS", "SHORT"
 CHANGEPOINTS, CHANGEPOINT_RANGE = 25, 0.8
 DAILY_ORDER = 4
 # Prior variances: offset and slope, slope changes, daily terms.
@@ -26,15 +27,39 @@ TREND_VARIANCE, CHANGE_VARIANCE, DAILY_VARIANCE = 25.0, 2 * 0.05 ** 2, 100.0
 
 
 def demand_series(silver: DataFrame, key: str | None = None, min_hours: int = fixed.MIN_HISTORY_HOURS) -> DataFrame:
-    """(series, ds, y): hourly average load, refused when a series is too short."""
-    hours = hourly_demand(silver, key)
-    series = hours.select(
+    """(series, ds, y): hourly average load of every series of at least ``min_hours`` points.
+
+    Shorter series are left out (``series_status`` names them); it is an error when none
+    is long enough.  Pass ``key=None`` for the one series of the whole network.
+    """
+    points = stage(demand_points(silver, key), "points")
+    enough = series_status(points, min_hours).where(F.col("status") != SHORT)
+    require(bool(enough.take(1)), f"no series has {min_hours} hours")
+    return points.join(enough.select("series"), "series", "left_semi").select("series", "ds", "y")
+
+
+def demand_points(silver: DataFrame, key: str | None = None) -> DataFrame:
+    """(series, ds, y) of every hour that has a load."""
+    return hourly_demand(silver, key).select(
         (F.lit(NETWORK) if key is None else F.col(key)).alias("series"),
         F.col("hour_timestamp").alias("ds"), F.col("avg_traffic_load_pct").alias("y"),
     ).dropna(subset=["ds", "y"])
-    shortest = series.groupBy("series").count().agg(F.min("count")).first()[0]
-    require(shortest is not None and shortest >= min_hours, f"a series has fewer than {min_hours} hours")
-    return series
+
+
+def series_status(points: DataFrame, min_hours: int = fixed.MIN_HISTORY_HOURS) -> DataFrame:
+    """Points, hours from first to last, hours without a point, and OK, GAPS or SHORT per series."""
+    hours = (F.unix_timestamp(F.max("ds")) - F.unix_timestamp(F.min("ds"))) / 3600 + 1
+    counted = points.groupBy("series").agg(F.count(F.lit(1)).alias("points"), hours.cast("bigint").alias("hours"))
+    missing = F.col("hours") - F.col("points")
+    status = F.when(F.col("points") < min_hours, SHORT).when(missing > 0, GAPS).otherwise(OK)
+    return counted.select("series", "points", "hours", missing.alias("missing_hours"), status.alias("status"))
+
+
+def hourly_grid(points: DataFrame) -> DataFrame:
+    """Every hour between a series' first and last point; ``y`` is NULL where there is none."""
+    ends = points.groupBy("series").agg(F.min("ds").alias("first"), F.max("ds").alias("last"))
+    grid = ends.select("series", F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 HOUR"))).alias("ds"))
+    return grid.join(points.select("series", "ds", "y"), ["series", "ds"], "left")
 
 
 def holdout(series: DataFrame) -> DataFrame:

@@ -72,7 +72,10 @@ def fit_logistic(
             regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False,
         ),
     ]
-    return Pipeline(stages=stages).fit(class_weights(train, label))
+    model = Pipeline(stages=stages).fit(class_weights(train, label))
+    # the training summary holds the session, which cannot be sent to tasks once a write was observed
+    model.stages[-1]._java_obj.setSummary(train.sparkSession._jvm.scala.Option.apply(None))
+    return model
 
 
 def fit_boosted(

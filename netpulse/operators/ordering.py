@@ -22,6 +22,11 @@ BINS_PER_E = 1000  # value bins per factor e
 FINE_BINS = 4096  # parts into which a bin that holds a wanted rank is cut
 
 
+def total_order(df: DataFrame, *order: Column) -> list[Column]:
+    """``order``, then all columns by name, so that only equal rows tie."""
+    return [*order, *[F.asc_nulls_last(name) for name in sorted(df.columns)]]
+
+
 def stage_in_order(df: DataFrame, *order: Column) -> DataFrame:
     """Range-sort ``df`` and store it with each row's slice and offset inside it.
 

@@ -11,6 +11,7 @@ from netpulse import fixed
 from netpulse import functions as fn
 from netpulse.operators import cleaning
 from netpulse.operators.ordering import exact_percentiles
+from netpulse.operators.sampling import DIGEST, with_digest
 
 
 def require(condition: bool, message: str) -> None:
@@ -32,6 +33,26 @@ def copy_counts(df: DataFrame) -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
 
 
+def extra_copies(df: DataFrame) -> DataFrame:
+    """One row, ``extra``: the rows beyond the first of every set of equal rows.
+
+    Two levels: 128-bit digests of all rows are counted first, which shuffles 16 bytes a
+    row; only rows whose digest repeats are then compared as a whole.
+    """
+    named = with_digest(df)
+    repeated = named.groupBy(*DIGEST).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).select(*DIGEST)
+    suspects = named.join(repeated, DIGEST).select(*df.columns)
+    return copy_counts(suspects).agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("extra"))
+
+
+def _with_extra_copies(df: DataFrame, *totals: Column) -> DataFrame:
+    """One row of ``totals`` over ``df`` (each at least 0) and ``extra``."""
+    counted = df.agg(*totals).withColumn("extra", F.lit(0).cast("bigint"))
+    none = [F.lit(0).cast("bigint").alias(name) for name in counted.columns[:-1]]
+    both = counted.unionByName(extra_copies(df).select(*none, "extra"))
+    return both.agg(*[F.sum(name).alias(name) for name in counted.columns])
+
+
 def shape_profile(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows")).select(
         "rows",
@@ -58,11 +79,9 @@ def total_missing(df: DataFrame) -> DataFrame:
 
 
 def duplicate_profile(df: DataFrame) -> DataFrame:
-    """Rows, distinct rows and exact duplicates from one aggregation."""
-    return copy_counts(df).agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("total_rows"),
-        F.count(F.lit(1)).alias("distinct_rows"),
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("exact_duplicates"),
+    """Rows, distinct rows and exact duplicates."""
+    return _with_extra_copies(df, F.count(F.lit(1)).alias("total_rows")).select(
+        "total_rows", (F.col("total_rows") - F.col("extra")).alias("distinct_rows"), F.col("extra").alias("exact_duplicates")
     )
 
 
@@ -114,13 +133,18 @@ def kpi_summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def quality_funnel(raw: DataFrame) -> DataFrame:
-    """What each cleaning step removes, from one deduplicating aggregation.
+    """What each cleaning step removes, from one deduplicating aggregation."""
+    return funnel_of(copy_counts(raw))
+
+
+def funnel_of(counted: DataFrame) -> DataFrame:
+    """The funnel of distinct rows with their ``copies``.
 
     Every count is over the rows that survive the earlier steps.  ``null_kpi``
     holds rows whose validity is undecided for a missing input: they are
     neither invalid nor kept, and without them the funnel would not add up.
     """
-    rows = cleaning.parse_timestamp(copy_counts(raw))
+    rows = cleaning.parse_timestamp(counted)
     dated = F.col("timestamp").isNotNull()
     cell, site, kpi = fn.valid_cell_id(), fn.valid_site_id(), fn.valid_kpi()
     identified = dated & cell & site
@@ -140,13 +164,13 @@ def quality_gate(df: DataFrame, saved_rows: int | Column) -> DataFrame:
     """PASS when nothing is missing, nothing is duplicated and every row was saved."""
     saved = saved_rows if isinstance(saved_rows, Column) else F.lit(saved_rows).cast("bigint")
     missing = reduce(add, [F.when(F.col(name).isNull(), 1).otherwise(0) for name in df.columns])
-    counts = copy_counts(df).agg(
-        F.coalesce(F.sum(F.col("copies") * missing), F.lit(0)).alias("total_missing"),
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("remaining_duplicates"),
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("final_rows"),
-    ).withColumn("saved_rows", saved)
+    counts = _with_extra_copies(
+        df, F.coalesce(F.sum(missing), F.lit(0)).alias("total_missing"), F.count(F.lit(1)).alias("final_rows")
+    ).withColumnRenamed("extra", "remaining_duplicates").withColumn("saved_rows", saved)
     passed = (
         (F.col("total_missing") == 0) & (F.col("remaining_duplicates") == 0)
         & (F.col("saved_rows") == F.col("final_rows"))
     )
-    return counts.withColumn("status", F.when(passed, "PASS").otherwise("REVIEW"))
+    return counts.select(
+        "total_missing", "remaining_duplicates", "final_rows", "saved_rows", F.when(passed, "PASS").otherwise("REVIEW").alias("status")
+    )

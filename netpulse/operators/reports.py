@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from netpulse import fixed
 from netpulse import functions as fn
+from netpulse.operators.ordering import total_order
 
 ENTITY = ["cell_id", "site_id", "region"]
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from netpulse import fixed
 from netpulse import functions as fn
 from netpulse.operators.cleaning import dedup_by_key, is_alert
-from netpulse.operators.ordering import with_rank
+from netpulse.operators.ordering import total_order, with_rank
 
 ANOMALY_KEY = ["timestamp", "cell_id"]
 
@@ -52,7 +52,7 @@ def alert_order() -> list:
 
 def alert_queue(risk: DataFrame) -> DataFrame:
     """High and critical risks, ranked 1..N without a one-task sort."""
-    return with_rank(risk.filter(is_alert()), "priority_rank", *alert_order())
+    return with_rank(risk.filter(is_alert()), "priority_rank", *total_order(risk, *alert_order()))
 
 
 def top_alerts(queue: DataFrame, k: int = 20) -> DataFrame:
@@ -89,4 +89,4 @@ def risk_output(scored: DataFrame, label: str = "failure_next_30m") -> DataFrame
 
 
 def top_risks(risk: DataFrame, k: int = 20) -> DataFrame:
-    return risk.orderBy(F.desc("failure_probability"), "timestamp", "cell_id").limit(k)
+    return risk.orderBy(*total_order(risk, F.desc("failure_probability"), F.asc("timestamp"), F.asc("cell_id"))).limit(k)

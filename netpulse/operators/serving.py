@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from netpulse import fixed
 from netpulse import functions as fn
 from netpulse.operators.cleaning import is_alert
+from netpulse.operators.ordering import total_order
 from netpulse.operators.reports import _mean, _per_entity, _rows
 
 VIEW = "command_center"
@@ -34,8 +35,15 @@ def command_center_view(risk: DataFrame, name: str | None = None) -> DataFrame:
 
 
 def create_command_center(spark: SparkSession, risk_table: str, name: str = VIEW) -> DataFrame:
-    """Session view over the saved risk table: nothing is stored twice."""
-    return command_center_view(spark.table(risk_table), name)
+    """View of the catalog over the saved risk table, for any session: nothing is stored twice.
+
+    The view's text is what Spark resolved the columns to, so it always agrees with
+    ``command_center_view``.
+    """
+    resolved = command_center_view(spark.table(risk_table))._jdf.queryExecution().analyzed().projectList()
+    columns = [resolved.apply(i).sql() for i in range(resolved.size())]
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(columns)} FROM {risk_table}")
+    return spark.table(name)
 
 
 def view_validation(view: DataFrame) -> DataFrame:
@@ -66,8 +74,9 @@ def regional_risk(view: DataFrame) -> DataFrame:
 
 
 def failure_watchlist(view: DataFrame, k: int = 20) -> DataFrame:
+    shown = view.filter(is_alert()).select(*fixed.WATCHLIST_COLUMNS)
     return (
-        view.filter(is_alert()).select(*fixed.WATCHLIST_COLUMNS)
-        .orderBy(F.desc("failure_risk_pct"), F.desc_nulls_last("anomaly_score"), "timestamp", "cell_id")
-        .limit(k)
+        shown.orderBy(*total_order(
+            shown, F.desc("failure_risk_pct"), F.desc_nulls_last("anomaly_score"), F.asc("timestamp"), F.asc("cell_id")
+        )).limit(k)
     )

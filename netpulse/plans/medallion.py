@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from netpulse import fixed
 from netpulse.operators import anomaly, boosting, cleaning, explain, forecast, metrics, models, quality, risk, serving, targets
@@ -34,16 +34,29 @@ TRACKED_RUN = "boosted_trees_30min_failure"
 
 
 def build_silver(raw: DataFrame, names: Names = Names(), partition_by: list[str] | None = None) -> DataFrame:
-    """Clean, save and verify; returns the one-row quality report."""
+    """Clean, save and verify; returns the one-row quality report with the cleaning funnel.
+
+    The raw rows are deduplicated once, with their copies counted; the funnel and the
+    silver rows both come from that.  The write counts its rows, and the saved table
+    and the funnel must agree with it.
+    """
     spark = raw.sparkSession
     with short_lived_stages(spark):
-        layers.write_layer(cleaning.clean(raw), names.silver, partition_by=partition_by)
-    saved = layers.read_layer(spark, names.silver)
-    return quality.quality_gate(saved, saved.count())
+        counted = stage(quality.copy_counts(raw), "distinct")
+        funnel = quality.funnel_of(counted).first()
+        silver = cleaning.finish_clean(cleaning.valid_distinct(counted.drop("copies")))
+        written = layers.write_layer(silver, names.silver, partition_by=partition_by)
+    quality.require(funnel["final_rows"] == written, f"the funnel keeps {funnel['final_rows']} rows, {written} were written")
+    layers.verify_saved(spark, names.silver, written)
+    gate = quality.quality_gate(layers.read_layer(spark, names.silver), written)
+    steps = [name for name in funnel.asDict() if name != "final_rows"]
+    return gate.select(*[F.lit(funnel[name]).alias(name) for name in steps], "*")
 
 
 def build_gold(spark: SparkSession, names: Names = Names(), partition_by: list[str] | None = None) -> DataFrame:
-    layers.write_layer(cleaning.build_gold(layers.read_layer(spark, names.silver)), names.gold, partition_by=partition_by)
+    silver = layers.read_layer(spark, names.silver)
+    written = layers.write_layer(cleaning.build_gold(silver), names.gold, partition_by=partition_by)
+    layers.verify_saved(spark, names.gold, written)
     return layers.read_layer(spark, names.gold)
 
 
@@ -86,8 +99,8 @@ def detect_anomalies(spark: SparkSession, names: Names = Names(), trees: int = f
     with short_lived_stages(spark):
         forest = anomaly.fit_isolation_forest(complete, trees=trees)
         scored = stage(anomaly.score_isolation_forest(forest, complete), "isolation")
-        layers.write_layer(anomaly.anomaly_results(scored), names.anomalies)
-        layers.verify_saved(spark, names.anomalies, scored.count())
+        written = layers.write_layer(anomaly.anomaly_results(scored), names.anomalies)
+    layers.verify_saved(spark, names.anomalies, written)
     return layers.read_layer(spark, names.anomalies)
 
 
@@ -134,15 +147,11 @@ def score_risk(spark: SparkSession, names: Names = Names()) -> tuple[int, int]:
     """Score gold with the latest tracked model, attach anomalies, save risk and alerts."""
     run = runs.latest_run(spark, TRACKED_RUN, names.runs)
     scored = score_gold(layers.read_layer(spark, names.gold), runs.load_model(run["artifacts"]["model"]))
-    layers.write_layer(risk.risk_scores(scored, layers.read_layer(spark, names.anomalies)), names.risk)
-    saved = layers.read_layer(spark, names.risk)
+    written = layers.write_layer(risk.risk_scores(scored, layers.read_layer(spark, names.anomalies)), names.risk)
+    risks = layers.verify_saved(spark, names.risk, written)
     with short_lived_stages(spark):
-        layers.write_layer(risk.alert_queue(saved), names.alerts)
-    expected = risk.risk_totals(saved).first()
-    return (
-        layers.verify_saved(spark, names.risk, expected["records_scored"]),
-        layers.verify_saved(spark, names.alerts, expected["alerts"]),
-    )
+        queued = layers.write_layer(risk.alert_queue(layers.read_layer(spark, names.risk)), names.alerts)
+    return risks, layers.verify_saved(spark, names.alerts, queued)
 
 
 def publish_forecast(spark: SparkSession, export_path: str, names: Names = Names()) -> DataFrame:
@@ -151,10 +160,11 @@ def publish_forecast(spark: SparkSession, export_path: str, names: Names = Names
     with short_lived_stages(spark):
         series = stage(forecast.demand_series(layers.read_layer(spark, names.silver)), "demand")
         following = forecast.finish_forecast(forecast.forecast_next(series, hours))
-        layers.write_layer(following, names.forecast, replace_schema=False)
-    layers.verify_saved(spark, names.forecast, hours)
+        written = layers.write_layer(following, names.forecast, replace_schema=False, schema=layers.FORECAST_SCHEMA)
+    quality.require(written == hours, f"the forecast must hold {hours} rows")
+    layers.verify_saved(spark, names.forecast, written)
     saved = layers.read_forecast(spark, names.forecast)
-    export = forecast.forecast_export(saved)
+    export = layers.conform(forecast.forecast_export(saved), layers.EXPORT_SCHEMA, "the export")
     quality.require(export.count() == hours, f"the export must hold {hours} rows")
     layers.export_csv(export, export_path)
     return forecast.forecast_summary(saved)

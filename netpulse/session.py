@@ -31,9 +31,8 @@ def build_session(app: str = "netpulse", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
-# Sizing: shuffle bytes per task, and a bound on map-output bookkeeping.
+# Shuffle bytes per task.
 TASK_BYTES = 200 << 20
-MOST_PARTITIONS = 40_000
 
 
 def sized_settings(shuffle_bytes: int, cores: int) -> dict[str, str]:
@@ -44,10 +43,10 @@ def sized_settings(shuffle_bytes: int, cores: int) -> dict[str, str]:
     """
     wanted = max(2 * cores, -(-shuffle_bytes // TASK_BYTES))
     return {
-        "spark.sql.shuffle.partitions": str(min(wanted, MOST_PARTITIONS)),
+        "spark.sql.shuffle.partitions": str(wanted),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TASK_BYTES),
-        "spark.sql.files.maxPartitionBytes": str(2 * TASK_BYTES if wanted > MOST_PARTITIONS else 128 << 20),
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
     }
 
 

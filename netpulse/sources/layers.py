@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from netpulse.operators.quality import require
 
@@ -23,8 +23,6 @@ EXPORT_SCHEMA = T.StructType([
     T.StructField("forecast_upper_bound", T.DoubleType()),
 ])
 
-REPORT_ROWS = 10_000
-
 
 @lru_cache(maxsize=1)
 def _delta_installed() -> bool:
@@ -45,27 +43,54 @@ def read_layer(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def write_layer(df: DataFrame, name: str, replace_schema: bool = True, partition_by: list[str] | None = None) -> None:
-    """Overwrite a managed table.
+def conform(df: DataFrame, schema: T.StructType, what: str = "frame") -> DataFrame:
+    """``df`` in the columns and order of ``schema``, matched by name.
 
-    With ``replace_schema=False`` an existing table keeps its columns: a frame
-    with other columns is refused instead of replacing them.  Partitioned
+    Missing, additional and differently typed columns are refused at once; a NULL in a
+    column that must not hold one fails the job that computes it, without another pass.
+    """
+    offered = {f.name: f.dataType for f in df.schema}
+    expected = {f.name: f.dataType for f in schema}
+    require(offered.keys() == expected.keys(), f"{what} must hold the columns {list(expected)}; got {list(offered)}")
+    wrong = [f"{n} is {offered[n].simpleString()}, not {t.simpleString()}" for n, t in expected.items() if offered[n] != t]
+    require(not wrong, f"{what}: {'; '.join(wrong)}")
+
+    def column(field: T.StructField):
+        if field.nullable:
+            return F.col(field.name)
+        refused = F.raise_error(F.lit(f"{what}: {field.name} must not be NULL")).cast(field.dataType)
+        return F.when(F.col(field.name).isNull(), refused).otherwise(F.col(field.name)).alias(field.name)
+
+    return df.select(*map(column, schema))
+
+
+def write_layer(
+    df: DataFrame, name: str, replace_schema: bool = True, partition_by: list[str] | None = None,
+    schema: T.StructType | None = None,
+) -> int:
+    """Overwrite a managed table; returns the rows that the write itself counted.
+
+    With ``schema`` the frame must conform to it, on the first write too.  With
+    ``replace_schema=False`` an existing table keeps its columns: they are matched by
+    name, and a frame with others is refused instead of replacing them.  Partitioned
     writes are rebalanced first: busy partitions are split over several tasks
     and quiet ones share one, so neither stragglers nor tiny files appear.
     """
     spark = df.sparkSession
+    if schema is not None:
+        df = conform(df, schema, name)
     if not replace_schema and spark.catalog.tableExists(name):
-        kept = [(f.name, f.dataType) for f in spark.table(name).schema]
-        offered = [(f.name, f.dataType) for f in df.schema]
-        require(kept == offered, f"{name} keeps its schema {kept}; got {offered}")
+        df = conform(df, spark.table(name).schema, f"{name} keeps its schema and")
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.format(table_format(spark)).mode("overwrite")
+    written = Observation()
+    writer = df.observe(written, F.count(F.lit(1)).alias("rows")).write.format(table_format(spark)).mode("overwrite")
     if replace_schema:
         writer = writer.option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)
+    return written.get.get("rows", 0)
 
 
 def verify_saved(spark: SparkSession, name: str, expected: int) -> int:
@@ -75,14 +100,13 @@ def verify_saved(spark: SparkSession, name: str, expected: int) -> int:
     return saved
 
 
-def export_csv(df: DataFrame, path: str, max_rows: int = REPORT_ROWS) -> None:
-    """One CSV file with a header, for reports only.
+def export_csv(df: DataFrame, path: str) -> None:
+    """One CSV file with a header.
 
-    A single file means a single writing task, so the size is checked first;
-    larger results belong in a table.
+    The frame is computed in parallel and then streamed by one writing task; results of
+    many rows belong in a table.
     """
-    require(df.limit(max_rows + 1).count() <= max_rows, f"more than {max_rows} rows: write a table instead")
-    df.coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
+    df.repartition(1).write.mode("overwrite").option("header", "true").csv(path)
 
 
 def read_forecast(spark: SparkSession, name: str) -> DataFrame:

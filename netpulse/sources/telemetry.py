@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from netpulse.operators.quality import require
+
 RAW_SCHEMA = T.StructType([
     T.StructField("timestamp", T.StringType()),
     T.StructField("cell_id", T.StringType()),
@@ -22,14 +28,85 @@ RAW_SCHEMA = T.StructType([
 ])
 
 
-def read_telemetry_csv(spark: SparkSession, path: str, schema: T.StructType | None = RAW_SCHEMA) -> DataFrame:
-    """CSV with a header; fields that do not parse become NULL.
+def read_telemetry_csv(
+    spark: SparkSession, path: str | list[str], schema: T.StructType | None = RAW_SCHEMA, corrupt: str | None = None
+) -> DataFrame:
+    """CSV files with headers, columns matched by name; fields that do not parse become NULL.
 
-    ``schema=None`` infers the types, at the price of an extra pass over the files.
+    Every file's own header says where its columns are, so order and number may differ
+    between files.  The result holds the columns of ``schema``, NULL where a file lacks
+    one, and then every further column found, as text.  Whole-number columns accept
+    ``120.0``.  With ``corrupt`` a column of that name holds the text of lines that have
+    more or fewer fields than their header.  ``schema=None`` takes the first file's header and
+    infers the types, at the price of an extra pass over the files.
     """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
-    return reader.csv(path)
+    if schema is None:
+        return spark.read.option("header", True).option("mode", "PERMISSIVE").option("inferSchema", True).csv(path)
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for file, header in csv_headers(spark, [path] if isinstance(path, str) else path):
+        layouts.setdefault(header, []).append(file)
+    require(bool(layouts), f"no CSV file with a header under {path}")
+    extras = sorted({name for header in layouts for name in header} - set(schema.fieldNames()))
+    parts = [_named_columns(spark, files, header, schema, extras, corrupt) for header, files in layouts.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def csv_headers(spark: SparkSession, paths: list[str]) -> list[tuple[str, tuple[str, ...]]]:
+    """(file, column names) of every non-empty file: the first line of each, read through the file system."""
+    hadoop, conf = spark._jvm.org.apache.hadoop, spark._jsc.hadoopConfiguration()
+    codecs = hadoop.io.compress.CompressionCodecFactory(conf)
+    files, waiting = [], []
+    for path in paths:
+        place = hadoop.fs.Path(path)
+        waiting += list(place.getFileSystem(conf).globStatus(place) or [])
+    while waiting:
+        status = waiting.pop()
+        place = status.getPath()
+        if status.isDirectory():
+            waiting += [s for s in place.getFileSystem(conf).listStatus(place) if s.getPath().getName()[:1] not in "._"]
+        else:
+            files.append(place)
+
+    def header(place) -> tuple[str, tuple[str, ...]] | None:
+        stream = place.getFileSystem(conf).open(place)
+        try:
+            codec = codecs.getCodec(place)
+            readable = codec.createInputStream(stream) if codec else stream
+            line = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(readable, "UTF-8")).readLine()
+        finally:
+            stream.close()
+        if not (line or "").strip():
+            return None
+        names = tuple(name.strip() for name in next(csv.reader([line.removeprefix("\ufeff")])))
+        require(len(set(names)) == len(names), f"{place}: a column name repeats in {names}")
+        return place.toString(), names
+
+    with ThreadPoolExecutor(16) as pool:
+        return sorted(found for found in pool.map(header, files) if found)
+
+
+def _named_columns(
+    spark: SparkSession, files: list[str], header: tuple[str, ...], schema: T.StructType, extras: list[str], corrupt: str | None
+) -> DataFrame:
+    """Files of one layout, read as text by position and then typed by name."""
+    fields = [T.StructField(name, T.StringType()) for name in header]
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", True)
+    if corrupt:
+        fields.append(T.StructField(corrupt, T.StringType()))
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
+    rows = reader.schema(T.StructType(fields)).csv(files)
+
+    def typed(field: T.StructField) -> Column:
+        if field.name not in header:
+            return F.lit(None).cast(field.dataType).alias(field.name)
+        text = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.IntegralType):
+            number = F.trim(text).try_cast("double")
+            return F.when(number == F.floor(number), number).try_cast(field.dataType).alias(field.name)
+        return (F.trim(text) if isinstance(field.dataType, T.NumericType) else text).try_cast(field.dataType).alias(field.name)
+
+    further = [(F.col(f"`{name}`") if name in header else F.lit(None).cast("string")).alias(name) for name in extras]
+    return rows.select(*map(typed, schema), *further, *([corrupt] if corrupt else []))
 
 
 def _null_every(period: int, value: Column) -> Column:

@@ -45,10 +45,31 @@ def test_short_history_is_refused(spark):
         F.timestamp_seconds(F.col("id") * 3600).alias("timestamp"), F.lit("A").alias("cell_id"), F.lit(0).alias("failure_event"),
         *[F.lit(1.0).alias(c) for c in ("traffic_load_pct", "connected_users", "throughput_mbps", "latency_ms", "packet_loss_pct")],
     )
-    with pytest.raises(ValueError, match="fewer than 48"):
+    with pytest.raises(ValueError, match="no series has 48 hours"):
         forecast.demand_series(silver)
 
 
+def test_short_and_gappy_series_stand_beside_long_ones(spark):
+    """One series is too short, one lacks hours, one is whole: the last two are forecast."""
+    hours = [("short", h) for h in range(20)] + [("gaps", h) for h in range(100) if h % 9 != 4] + [("whole", h) for h in range(72)]
+    silver = spark.createDataFrame(hours, "site_id string, h long").select(
+        F.timestamp_seconds(F.col("h") * 3600).alias("timestamp"), "site_id", F.lit("A").alias("cell_id"), F.lit(0).alias("failure_event"),
+        (F.lit(50.0) + F.col("h") % 24).alias("traffic_load_pct"),
+        *[F.lit(1.0).alias(c) for c in ("connected_users", "throughput_mbps", "latency_ms", "packet_loss_pct")],
+    )
+    points = forecast.demand_points(silver, "site_id")
+    status = {r["series"]: tuple(r)[1:] for r in forecast.series_status(points).collect()}
+    assert status == {"short": (20, 20, 0, "SHORT"), "gaps": (89, 100, 11, "GAPS"), "whole": (72, 72, 0, "OK")}
+    grid = forecast.hourly_grid(points).where("series = 'gaps'")
+    assert (grid.count(), grid.where("y IS NULL").count()) == (100, 11)
+    series = forecast.demand_series(silver, "site_id")
+    assert {r["series"]: r["count"] for r in series.groupBy("series").count().collect()} == {"gaps": 89, "whole": 72}
+    following = forecast.forecast_next(series)
+    assert {r["series"]: r["count"] for r in following.groupBy("series").count().collect()} == {"gaps": 24, "whole": 24}
+    errors = [abs(r["yhat"] - 50 - r["ds"].hour) for r in following.collect()]
+    assert sum(errors) / len(errors) < 4  # a saw tooth, of which four daily terms miss the edge
+
+
 def test_errors_skip_zero_actuals_in_mape_only(spark):
     df = spark.createDataFrame([(0.0, 1.0), (10.0, 9.0)], "y double, yhat double")
     row = forecast.forecast_errors(df).first()
