@@ -9,6 +9,7 @@ which a logistic curve fitted on labelled texts maps to a probability.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -17,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netpulse.llm.common import SPACES, documents_of, ship_package, stage
+from netpulse.llm.common import SPACES, WORD, documents_of, ship_package, stage
 
 # Labelled texts used to fit, at most; the curve is fitted on each half with the other half's words.
 FIT_DOCUMENTS = 24_000
@@ -28,6 +29,7 @@ LEAST_Z = 2.5
 BACKGROUND = -0.05
 HEAD_LETTERS = 4
 THRESHOLD = 0.3
+_WORDS = re.compile(WORD)
 _PUNCTUATION = ".,;:!?\"'()[]{}<>*#%&$|/"
 
 
@@ -37,7 +39,7 @@ def words_of(text: str) -> list[str]:
     for c in _PUNCTUATION:
         if c in text:
             text = text.replace(c, " ")
-    return text.split()
+    return _WORDS.findall(text)
 
 
 @dataclass
@@ -56,26 +58,28 @@ def segments(places: list[int], weights: list[float], background: float) -> list
     """All maximal scoring segments as (first place, last place, score), in linear time.
 
     ``places`` are the positions of words with positive weight; all words between
-    them cost ``background`` each.  A candidate is joined with earlier ones as long
-    as the total left of it is smaller and its right total larger, so each is
-    pushed and popped once.
+    them cost ``background`` each.  A candidate is joined with the last earlier one that
+    begins at a smaller total, as long as that one's right total is smaller too.  Every
+    segment remembers the last one before it that begins lower, so the search skips what
+    can never be joined, and each segment is passed over once.
     """
     kept: list[tuple[int, int, float, float]] = []  # first, last, total before, total after
+    lower: list[int] = []  # for each kept one: the last before it with a smaller total before
     total, before = 0.0, -1
     for place, weight in zip(places, weights):
         total += background * (place - before - 1)
         before = place
         left, right, first = total, total + weight, place
         total = right
-        while True:
-            j = len(kept) - 1
-            while j >= 0 and kept[j][2] >= left:
-                j -= 1
-            if j < 0 or kept[j][3] >= right:
-                kept.append((first, place, left, right))
-                break
-            first, left = kept[j][0], kept[j][2]
-            del kept[j:]
+        j = len(kept) - 1
+        while j >= 0 and kept[j][2] >= left:
+            j = lower[j]
+        while j >= 0 and kept[j][3] < right:
+            first, left, next_lower = kept[j][0], kept[j][2], lower[j]
+            del kept[j:], lower[j:]
+            j = next_lower
+        kept.append((first, place, left, right))
+        lower.append(j)
     return [(a, b, r - l) for a, b, l, r in kept]
 
 
@@ -139,8 +143,8 @@ def _log_odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: float, n_clean: flo
     return odds, odds / np.sqrt(1 / a + 1 / b)
 
 
-def _word_weights(texts: DataFrame) -> Model:
-    """Weights from rows (text, toxic).
+def _contexts(texts: DataFrame) -> DataFrame:
+    """(half, c, low, high): every pair of a word and the one before it, and the least and greatest label it stands under.
 
     A word counts once for each word that stands before it, not once per
     occurrence: copies repeat whole contexts, so a group of copies of any size
@@ -148,11 +152,17 @@ def _word_weights(texts: DataFrame) -> Model:
     """
     lowered = F.translate(F.lower("text"), _PUNCTUATION, " " * len(_PUNCTUATION))
     listed = F.split(F.trim(F.regexp_replace(lowered, SPACES, " ")), " ")
-    pairs = F.array_distinct(F.zip_with(listed, F.concat(F.array(F.lit("")), listed), lambda w, p: F.struct(p.alias("p"), w.alias("w"))))
+    pairs = F.array_distinct(F.zip_with(listed, F.concat(F.array(F.lit("")), listed), lambda w, p: F.concat(p, F.lit(" "), w)))
+    rows = texts.select("half", "toxic", F.explode(pairs).alias("c")).where("c IS NOT NULL")
+    return rows.groupBy("half", "c").agg(F.min("toxic").alias("low"), F.max("toxic").alias("high"))
+
+
+def _word_weights(contexts: DataFrame) -> Model:
+    """Weights from ``_contexts`` of one half or of both."""
     rows = (
-        texts.select("toxic", F.explode(pairs).alias("c")).where("c.w IS NOT NULL AND c.w <> ''")
-        .groupBy("c").agg(F.min("toxic").alias("low"), F.max("toxic").alias("high"))
-        .select(F.col("c.w").alias("w"), F.col("high").alias("toxic"), (F.lit(1) - F.col("low")).alias("clean"))
+        contexts.groupBy("c").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        .select(F.substring_index("c", " ", -1).alias("w"), F.col("high").alias("toxic"), (F.lit(1) - F.col("low")).alias("clean"))
+        .where("w <> ''")
     )
     per_word = rows.groupBy("w").agg(F.sum("toxic").cast("double").alias("toxic"), F.sum("clean").cast("double").alias("clean"))
 
@@ -200,11 +210,12 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, bound:
     chosen = rows.withColumn("h", F.xxhash64("doc_id", F.lit(11))).orderBy("h", "doc_id").limit(bound)
     texts = documents_of(docs).join(F.broadcast(chosen), "doc_id")
     texts = stage(texts.select("doc_id", "text", "toxic", F.pmod("h", F.lit(2)).alias("half")), "labelled")
+    contexts = stage(_contexts(texts), "contexts")
     seen = []
     for half in (0, 1):
-        other = _word_weights(texts.where(F.col("half") != half))
+        other = _word_weights(contexts.where(F.col("half") != half))
         seen.append(_scan(texts.where(F.col("half") == half), other).select("toxic", "evidence").toPandas())
-    model = _word_weights(texts)
+    model = _word_weights(contexts)
     y, x = (pd.concat(seen)[c].to_numpy(float) for c in ("toxic", "evidence"))
     if 0 < y.sum() < len(y):
         model.curve = _fit_curve(x, y)
