@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,9 +54,27 @@ def _templates(templates: dict[str, str]) -> list[dict]:
     return [t for t in out if t["n"]]
 
 
-def _units(text: Column) -> Column:
+def _prefixes(known: list[dict], least: float) -> list[str]:
+    """Bigrams of which every matching text holds one.
+
+    A unit that reaches ``least`` shares at least ``n * least / (2 - least)`` of a
+    template's n bigrams, so it cannot lack all of any ``n`` minus that many, plus one.
+    Of each template those are taken that most templates have, then the longest.
+    """
+    held = Counter(g for t in known for g in t["grams"])
+    chosen = set()
+    for t in known:
+        size = t["n"] - math.ceil(t["n"] * least / (2 - least) - 1e-9) + 1
+        chosen.update(sorted(t["grams"], key=lambda g: (-len(g), -held[g], g))[: max(1, min(size, t["n"]))])
+    return sorted(chosen)
+
+
+def _normalised(text: Column) -> Column:
+    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^a-z0-9\n]+", " ")
+
+
+def _units(kept: Column) -> Column:
     """Normalised lines and, where they differ, blank-line paragraphs, each as an array of words."""
-    kept = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^a-z0-9\n]+", " ")
     lines = F.split(kept, "\n")
     blocks = F.transform(F.split(kept, r"\n[ ]*\n"), lambda b: F.replace(b, F.lit("\n"), F.lit(" ")))
     plain = F.transform(F.concat(lines, blocks), lambda u: F.trim(F.regexp_replace(u, " +", " ")))
@@ -66,14 +86,15 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, least
 
     A unit (line or paragraph) is compared only with templates whose number of
     bigrams lies within ``least / (2 - least)`` of its own: beyond, the coefficient
-    cannot reach ``least``.  ``license`` is the best match, ties to the first name;
+    cannot reach ``least``.  Texts without any of the bigrams that a match cannot lack
+    are passed over before that.  ``license`` is the best match, ties to the first name;
     ``n_matches`` counts distinct matching units, ``licenses`` lists all names.
     Null, empty and non-matching texts have null license and dice, and 0 matches.
     No shuffle: rows are judged on their own, so repeated rows and ids do not matter.
     """
     known = _templates(TEMPLATES if templates is None else templates)
     listed = F.from_json(F.lit(json.dumps(known)), "array<struct<name:string,n:int,grams:array<string>>>")
-    ratio = least / (2 - least)
+    ratio = least / (2 - least) * (1 - 1e-12)  # a size just at the bound stays in, however it is rounded
     low, high = min((t["n"] for t in known), default=1) * ratio, max((t["n"] for t in known), default=0) / ratio
 
     def grams(unit: Column) -> Column:
@@ -91,9 +112,14 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, least
         scored = F.transform(fitting, lambda t: F.struct((F.lit(-2.0) * F.size(F.array_intersect(t["grams"], unit_grams)) / (t["n"] + n)).alias("loss"), t["name"].alias("name")))
         return F.filter(scored, lambda m: m["loss"] <= F.lit(-least))
 
-    sized = F.filter(F.transform(F.filter(_units(F.col("text")), words_fit), grams), lambda g: (F.size(g) >= F.lit(low)) & (F.size(g) <= F.lit(high)))
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.filter(F.transform(sized, matches), lambda m: F.size(m) > 0).alias("units"))
-    flat = found.select("doc_id", F.size("units").cast("long").alias("n_matches"), F.flatten("units").alias("all"))
+    sized = F.filter(F.transform(F.filter(_units(F.col("kept")), words_fit), grams), lambda g: (F.size(g) >= F.lit(low)) & (F.size(g) <= F.lit(high)))
+    units = F.filter(F.transform(sized, matches), lambda m: F.size(m) > 0)
+    # words of a bigram may stand on two lines of a paragraph
+    likely = F.col("kept").rlike(r"\b(?:" + "|".join(g.replace(" ", "[ \n]+") for g in _prefixes(known, least)) + r")\b") if known else F.lit(False)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _normalised(F.col("text")).alias("kept"))
+    found = rows.select("doc_id", F.when(likely, units).alias("units"))
+    # without a likely bigram there are no units: null, hence no match
+    flat = found.select("doc_id", F.coalesce(F.size("units"), F.lit(0)).cast("long").alias("n_matches"), F.flatten("units").alias("all"))
     return flat.select(
         "doc_id", F.array_min("all")["name"].alias("license"), (-F.array_min("all")["loss"]).alias("dice"), "n_matches",
         F.concat_ws(",", F.array_sort(F.array_distinct(F.transform("all", lambda m: m["name"])))).alias("licenses"),
