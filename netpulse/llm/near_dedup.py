@@ -37,6 +37,8 @@ LEVELS = 16
 # Rows of a block in units of NODE_LIMIT, blocks of a node from which bands split it first.
 BLOCK = 2
 MANY_BLOCKS = 32
+# Bits of the filter that keeps texts out of the shuffle (8 MB).
+FILTER_BITS = 1 << 26
 # Share of the pairs at just the least similarity that may part in all trees, and again that may fall below the cut.
 MISS = 3e-7
 
@@ -281,12 +283,27 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     )
 
 
+def _likely(rows: DataFrame, needed: DataFrame) -> DataFrame:
+    """``rows`` whose doc_id may be among ``needed``: all that are, and few others, judged without a shuffle.
+
+    The ids set bits of a filter of ``FILTER_BITS``; its words are broadcast, at most
+    one in 64 bits of them, 16 bytes each, however many ids there are.
+    """
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    words = needed.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("__word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") % 64).cast("int"))).alias("__bits")
+    )
+    marked = rows.join(F.broadcast(words), F.shiftright(bit, 6) == F.col("__word"))
+    held = F.call_function("shiftrightunsigned", F.col("__bits"), (bit % 64).cast("int")) % 2 != 0
+    return marked.where(held).select(*rows.columns)
+
+
 def verified_links(docs: DataFrame, members: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     """Links (a, b) between representatives that connect every pair found similar; full sets are confirmed."""
     rule = rule_of(percent)
     leaves = stage(_by_node(_leaves(members, rule), partial(_with_candidates, rule=rule), _LEAF), "leaves")
-    needed = leaves.select(F.col("rep").alias("doc_id")).distinct()
-    texts = documents_of(docs).join(needed, "doc_id", "left_semi")
+    needed = stage(leaves.select(F.col("rep").alias("doc_id")).distinct(), "needed")
+    texts = _likely(documents_of(docs), needed).join(needed, "doc_id", "left_semi")
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

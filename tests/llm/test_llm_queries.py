@@ -162,3 +162,13 @@ def test_packing_of_added_tokens(spark):
     assert len(expected[1]) == 5
     pieces = packing.token_pieces(spark.createDataFrame(texts, "doc_id long, text string"), *public_vocabulary())
     check_packed(packing.pack(pieces).collect(), expected)
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 10, 1 << 26])
+def test_filter_keeps_all_needed_ids(spark, monkeypatch, bits):
+    """Whatever its size, the filter loses no id; a large one keeps few others."""
+    monkeypatch.setattr(near_dedup, "FILTER_BITS", bits)
+    rows = spark.range(-500, 4500).selectExpr("id AS doc_id", "'t' AS text").unionByName(spark.createDataFrame([(None, "t")], "doc_id long, text string"))
+    kept = {r.doc_id for r in near_dedup._likely(rows, rows.select("doc_id").where("doc_id % 9 = 0")).collect()}
+    needed = {i for i in range(-500, 4500) if i % 9 == 0}
+    assert needed <= kept and (bits < 1 << 26 or len(kept) < len(needed) + 5)
