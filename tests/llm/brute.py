@@ -169,3 +169,14 @@ def token_alignment(rows: list[tuple], slow, pieces, letters: dict[str, int]) ->
         best = sum(counts[p] == highest[p[1]] for p in links)
         out.append((doc_id, n_a, n_b, n_groups, len(links), best, sum(counts[p] for p in links), digest))
     return sorted(out, key=str)
+
+
+def best_products(vectors, ids, every, k):
+    """{query id: [(score, id)]} of the k best others, by Python's whole numbers, no score beyond a long."""
+    rows = [(int(i), [int(x) for x in v]) for i, v in zip(ids, vectors)]
+    out = {}
+    for own, q in rows:
+        if own % every == 0:
+            scores = [(min(max(sum(a * b for a, b in zip(q, v)), -(2**63)), 2**63 - 1), i) for i, v in rows if i != own]
+            out[own] = sorted(scores, key=lambda s: (-s[0], s[1]))[:k]
+    return out
