@@ -22,11 +22,11 @@ from netpulse.llm.common import partitions, ship_package, stage
 
 SCALE = 256
 # Rows of the opening (at most, and at most an eighth of all), of a cell, of a block with its lists; queries of a cell.
-OPENING, CELL_VECTORS, BLOCK_VECTORS, CELL_QUERIES = 1024, 32_768, 4096, 16_384
+OPENING, CELL_VECTORS, BLOCK_VECTORS, CELL_QUERIES = 4096, 32_768, 8192, 16_384
 # A cell is cut down to this many rows where there would be fewer cells than shuffle partitions.
 LEAST_CELL = 4096
 # Contributions at which the bounds are looked at, as shares of the k-th score per component; then all is read.
-LEVELS = (3 / 4, 1 / 2, 1 / 4, 0.0, -1 / 2, -1.0)
+LEVELS = (1 / 2, 1 / 8, -1 / 4, -1.0)
 LONGEST, LEAST_SCORE = 2**63 - 1, -(2**63)
 
 
@@ -44,11 +44,11 @@ class Block:
     """Rows of a cell and, per component, their numbers and values in ascending order."""
 
     def __init__(self, vectors: np.ndarray, ids: np.ndarray):
-        self.vectors, self.ids = vectors, ids
-        columns = np.ascontiguousarray(vectors.T.astype(np.float64))
+        self.vectors, self.ids, self.doubles = vectors, ids, vectors.astype(np.float64)
+        columns = np.ascontiguousarray(self.doubles.T)
         self.order = np.argsort(columns, axis=1, kind="stable")
         self.values = np.take_along_axis(columns, self.order, axis=1)
-        self.reach = np.abs(vectors.astype(np.float64)).max(axis=1, initial=0)
+        self.reach = np.abs(self.doubles).max(axis=1, initial=0)
 
     def edges(self, queries: np.ndarray, levels: np.ndarray) -> np.ndarray:
         """Place (query, level, list) up to which a list is read at a level, after its start."""
@@ -68,8 +68,11 @@ class Block:
 
     def scores(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
         """Exact inner products; beyond a long the nearest long."""
+        weight = float(np.abs(query.astype(np.float64)).sum())
+        if self.reach.max() * weight < 2**52:  # whole numbers that doubles hold
+            return (self.doubles[rows] @ query.astype(np.float64)).astype(np.int64)
         held = self.vectors[rows]
-        fits = self.reach[rows] * float(np.abs(query.astype(np.float64)).sum()) < 2**62
+        fits = self.reach[rows] * weight < 2**62
         out = np.empty(len(rows), np.int64)
         out[fits] = held[fits] @ query
         for i in np.flatnonzero(~fits):
@@ -85,6 +88,9 @@ class Best:
         self.scores, self.ids = np.empty(0, np.int64), np.empty(0, np.int64)
 
     def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
+        if self.bound is not None:
+            reach = scores >= self.bound
+            scores, ids = scores[reach], ids[reach]
         scores, ids = np.concatenate([self.scores, scores]), np.concatenate([self.ids, ids])
         # ~score turns the order round without leaving the range of a long
         first = np.lexsort((ids, ~scores))[: self.k]
@@ -133,7 +139,7 @@ def scan(block: Block, queries: np.ndarray, query_ids: np.ndarray, best: list[Be
             # scores that count as the same nearest long are ties
             needed = min(max(least[i], kth), float(LONGEST)) - 2 * slack[i]
             alive = other & ((upper >= needed) | (needed <= LEAST_SCORE))
-            if alive.sum() * lists[i] <= ahead[at + 1 :].sum() // 4:
+            if alive.sum() * lists[i] <= ahead[at + 1 :].sum():
                 break
         rows = np.flatnonzero(alive)
         best[i].add(block.scores(rows, query), block.ids[rows])
