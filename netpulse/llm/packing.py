@@ -1,10 +1,10 @@
 """Packing documents into sequences of fixed capacity by the sum-of-squares rule.
 
 Documents are tokenised once into piece rows (place, length, checksum), which are
-dealt into shards by a hash of the piece.  Within a shard every piece goes where
-the sum over residual gaps of the squared number of open bins becomes smallest.
-A shard is a bounded number of rows, so neither a hot source nor a long document
-makes one large.
+dealt into shards by turns, so that all have the same size whatever the rows hold.
+Within a shard every piece goes where the sum over residual gaps of the squared
+number of open bins becomes smallest.  A shard is a bounded number of rows: neither
+a hot source, a long document nor rows that repeat an id make one large.
 """
 
 from __future__ import annotations
@@ -140,7 +140,11 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
 def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """``pieces`` (doc_id, piece, start, length, ids_crc32) with sequence_id and offset.
 
-    Stages the pieces, so that the shards can be counted without tokenising twice.
+    Stages the pieces, so that the shards can be counted without tokenising twice, and
+    deals them by their running number in the staged files, which a lost task finds
+    again as it was.  A shard takes its pieces longest first; pieces that agree in all
+    columns may change places.  No pieces give no rows; rows that repeat an id, or have
+    none, are pieces of their own.
     """
     ship_package(pieces.sparkSession)
     staged = stage(pieces.select("doc_id", "piece", "start", "length", "ids_crc32"), "pieces")
@@ -153,7 +157,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_
         frame["offset"] = offsets
         return frame.drop(columns="shard")
 
-    dealt = staged.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "length", "ids_crc32"), F.lit(shards)).cast("int"))
+    # the lower 33 bits count the rows of a task; the task's number, hashed, is where its turns begin
+    number = F.monotonically_increasing_id()
+    turn = number.bitwiseAND(2**33 - 1) + F.pmod(F.xxhash64(F.shiftright(number, 33)), F.lit(shards))
+    dealt = staged.withColumn("shard", F.pmod(turn, F.lit(shards)).cast("int"))
     return dealt.groupBy("shard").applyInPandas(work, PLACED_SCHEMA)
 
 
