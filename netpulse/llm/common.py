@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from netpulse.session import ship_package, stage
 
-__all__ = ["SPACES", "WORD", "crc_share", "documents_of", "grouped_batches", "partitions", "read", "ship_package", "stage", "table_of"]
+__all__ = ["SPACES", "WORD", "crc_share", "documents_of", "grouped_batches", "partitions", "read", "ship_package", "stage", "table_of", "unused"]
 
 # Fixed character classes of the contracts: white space, and everything else.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -26,6 +26,14 @@ def documents_of(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def unused(frame: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``frame`` has no such column."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc_share(doc_id: Column, parts: int) -> Column:
     """Remainder of crc32 of the id written as text: the fixed split of labelled rows."""
     return F.pmod(F.crc32(doc_id.cast("string")), F.lit(parts))

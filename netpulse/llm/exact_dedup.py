@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from netpulse.llm.common import SPACES, documents_of, partitions, stage
+from netpulse.llm.common import SPACES, documents_of, partitions, stage, unused
 
 # Buckets per shuffle partition, sampled rows per bucket, leading bytes in a splitter.
 BUCKETS_PER_PARTITION = 2
@@ -121,14 +121,29 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def _content(docs: DataFrame) -> Column:
+    """A hash of all columns; missing values count, each in its own place."""
+    parts = []
+    for field in docs.schema:
+        column = F.col(f"`{field.name}`")
+        shown = column.cast("string") if "map<" in field.dataType.simpleString() else column
+        parts += [column.isNull(), shown]
+    return F.xxhash64(*parts)
+
+
 def without_exact_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``exact_duplicates`` keeps, all columns as they were."""
+    """The rows of ``docs`` that ``exact_duplicates`` keeps, all columns as they were, whatever their names.
+
+    Null texts count as empty.  Of rows that repeat both doc_id and text, the one with
+    the least hash of all columns stays: the same for any partitioning.
+    """
     def key(doc_id: Column, digest: Column) -> Column:
         return F.concat_ws(":", F.coalesce(doc_id.cast("long").cast("string"), F.lit("none")), digest)
 
-    verdict = exact_duplicates(docs)
-    kept = verdict.where("kept").select(key(F.col("doc_id"), F.col("text_sha256")).alias("__kept_key"))
-    keyed = docs.withColumn("__row_key", key(F.col("doc_id"), F.sha2(F.encode(normalised(F.col("text")), "UTF-8"), 256)))
-    found = keyed.join(kept, F.col("__row_key") == F.col("__kept_key"), "left_semi")
-    repeat = Window.partitionBy("__row_key").orderBy(F.lit(1))
-    return found.withColumn("__repeat", F.row_number().over(repeat)).where("__repeat = 1").drop("__row_key", "__repeat")
+    name, place = unused(docs, "row_key"), unused(docs, "row_place")
+    kept = exact_duplicates(docs).where("kept").select(key(F.col("doc_id"), F.col("text_sha256")).alias(name))
+    keyed = docs.withColumn(name, key(F.col("doc_id"), F.sha2(F.encode(normalised(F.col("text")), "UTF-8"), 256)))
+    # only the first place is asked for, so each task passes on one row a key
+    repeat = Window.partitionBy(name).orderBy(_content(docs))
+    found = keyed.join(kept, name, "left_semi").withColumn(place, F.row_number().over(repeat))
+    return found.where(F.col(place) == 1).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from netpulse.llm.common import WORD, stage
+from netpulse.llm.common import WORD, stage, unused
 
 DIMENSIONS = ("source", "lang", "topic")
 # Share of all tokens to draw; exponent that evens out the shares; sweeps, and how many of them one plan holds.
@@ -95,10 +95,14 @@ def calibrated(docs: DataFrame, topics: DataFrame, token_share: float = TOKEN_SH
 
 
 def sample_mixture(docs: DataFrame, topics: DataFrame, token_share: float = TOKEN_SHARE) -> DataFrame:
-    """The rows of ``docs`` that ``calibrated`` draws, all columns as they were."""
-    drawn = calibrated(docs, topics, token_share).where("sampled").select(F.col("key").alias("__drawn_key")).distinct()
-    keyed = docs.withColumn("__row_key", row_key(F.col("doc_id"), F.col("text")))
-    return keyed.join(drawn, F.col("__row_key") == F.col("__drawn_key"), "left_semi").drop("__row_key")
+    """The rows of ``docs`` that ``calibrated`` draws, all columns as they were, whatever their names.
+
+    Rows that repeat a doc_id are drawn or left together, and so are rows without one that
+    repeat a text; missing texts, sources and languages count as empty ones.
+    """
+    name = unused(docs, "row_key")
+    drawn = calibrated(docs, topics, token_share).where("sampled").select(F.col("key").alias(name)).distinct()
+    return docs.withColumn(name, row_key(F.col("doc_id"), F.col("text"))).join(drawn, name, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def oracle() -> str:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netpulse.llm.common import documents_of, grouped_batches, partitions, ship_package, stage
+from netpulse.llm.common import documents_of, grouped_batches, partitions, ship_package, stage, unused
 from netpulse.llm.components import connected_components
 from netpulse.llm.shingles import COORDINATES, chunked, shingle_sets, summaries
 
@@ -319,6 +319,10 @@ def verified_links(docs: DataFrame, members: DataFrame, percent: int = SIMILARIT
 
 
 def without_near_copies(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps, all columns as they were."""
-    dropped = near_duplicates(docs, percent).where("NOT kept").select(F.col("doc_id").alias("__dropped_id")).distinct()
-    return docs.join(dropped, F.col("doc_id").cast("long") == F.col("__dropped_id"), "left_anti")
+    """The rows of ``docs`` that ``near_duplicates`` keeps, all columns as they were, whatever their names.
+
+    Rows that repeat a doc_id stay or go together; rows without a doc_id, words or text stay.
+    """
+    name = unused(docs, "dropped_id")
+    dropped = near_duplicates(docs, percent).where("NOT kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(dropped, F.col("doc_id").cast("long") == F.col(name), "left_anti")

@@ -101,3 +101,28 @@ def test_stages_keep_odd_columns(spark, docs, sf_dir):
         assert out.columns == rows.columns
         rows = out
     assert corpus_pipeline.STAGES[-1][1](spark, rows, sf_dir).count() >= 0
+
+
+def test_helper_names_are_free(spark, sf_dir):
+    """Columns called as the stages call their own, one with a map, one with a dot."""
+    fixed = "doc_id long, text string, lang string, source string"
+    schema = fixed + ", row_key string, Row_Place int, dropped_id long, `a.b` string, m map<string,int>"
+    values = [(1, "one text"), (2, "one  text"), (3, PASSAGE), (4, PASSAGE + "and more")]
+    docs = spark.createDataFrame([(*v, "en", "web", f"k{v[0]}", 5, 1, "dot", {"x": 1}) for v in values], schema)
+    exact = exact_dedup.without_exact_copies(docs)
+    near = near_dedup.without_near_copies(docs)
+    assert exact.columns == near.columns == mixing.sample_mixture(docs, topics(spark), 1.0).columns == docs.columns
+    assert sorted(r.doc_id for r in exact.collect()) == [1, 3, 4]
+    assert sorted((r.doc_id, r.row_key, r.dropped_id) for r in near.collect())[-1] == (3, "k3", 1)
+    assert {r.doc_id for r in mixing.sample_mixture(docs, topics(spark), 1.0).collect()} <= {1, 2, 3, 4}
+
+
+def test_repeated_rows_keep_the_same_one(spark):
+    rows = [(1, "same text", f"place {i}", None if i % 2 else i) for i in range(40)]
+    kept = set()
+    for parts in (1, 4, 7):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long").repartition(parts)
+        found = exact_dedup.without_exact_copies(docs).collect()
+        assert len(found) == 1
+        kept.add(tuple(found[0]))
+    assert len(kept) == 1
