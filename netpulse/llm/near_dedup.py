@@ -1,22 +1,23 @@
 """Near-duplicate documents by a chosen-path set similarity join.
 
 Equal shingle sets are first reduced to one representative.  Then independent
-trees part the representatives by one minwise value each.  A similar pair shares
-a value with a probability equal to its similarity, so it meets in some tree but
-for ``MISS``.  What happens inside a part loses nothing more, however large it is:
-parts up to ``NODE_LIMIT`` rows are compared exhaustively, larger ones are dealt
-into blocks by size and hash of which every two that can hold a pair meet, and
-parts of very many blocks are first split by bands of the signature where that
-makes fewer rows.  There are more bands than values in which a candidate pair may
-differ, so it agrees on one.
+trees branch the representatives: the root parts them by one minwise value, and a
+part that is still crowded sends each row down ``PATHS`` paths, by the minwise
+values at coordinates that the part's own path selects, level by level.  A similar
+pair shares a path with a probability equal to its similarity, which makes more
+than one shared path a level; the number of trees follows from the probability
+that all shared paths end, however deep the trees grow.
+Parts up to ``NODE_LIMIT`` rows are compared exhaustively.  Where paths would not
+thin a crowded part out, because its rows share most of their shingles, it is
+dealt into blocks by size and hash of which every two that can hold a pair meet.
 Rows are compared by signatures first, then on their full sets.  Links that
 survive are contracted to components.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import partial
+from collections.abc import Callable, Iterator
+from functools import cache, partial
 from math import comb, log
 from typing import NamedTuple
 
@@ -30,13 +31,13 @@ from netpulse.llm.common import documents_of, grouped_batches, partitions, ship_
 from netpulse.llm.components import connected_components
 from netpulse.llm.shingles import COORDINATES, chunked, shingle_sets, summaries
 
-# Least similarity in percent where none is given, rows of a node compared as it is, levels of bands below the root.
+# Least similarity in percent where none is given, rows of a node compared as it is, levels of branching below the root.
 SIMILARITY = 85
 NODE_LIMIT = 512
 LEVELS = 16
-# Rows of a block in units of NODE_LIMIT, blocks of a node from which bands split it first.
+# Paths of a row out of a crowded node; rows of a block in units of NODE_LIMIT.
+PATHS = 3
 BLOCK = 2
-MANY_BLOCKS = 32
 # Bits of the filter that keeps texts out of the shuffle (8 MB).
 FILTER_BITS = 1 << 26
 # Share of the pairs at just the least similarity that may part in all trees, and again that may fall below the cut.
@@ -50,17 +51,47 @@ class Rule(NamedTuple):
     trees: int
     least_shared: int
 
-    @property
-    def bands(self) -> int:
-        return COORDINATES - self.least_shared + 1
 
+def _binomial(n: int, k: int, p: float) -> float:
+    return comb(n, k) * p**k * (1 - p) ** (n - k)
 
+
+def _fixed_point(step: Callable[[float], float]) -> float:
+    """The least solution of q = step(q) that is not negative, approached from below."""
+    q = 0.0
+    for _ in range(20_000):
+        q, before = step(q), q
+        if q - before < 1e-15:
+            break
+    return q
+
+
+def miss_rate(similarity: float, trees: int) -> float:
+    """Probability that a pair of this similarity parts in all ``trees``, however deep they grow.
+
+    Of the pair's minwise values a number agrees, and so do some of the trees' roots
+    among them.  Below a root, all shared paths of a pair whose values agree at rate p
+    end at some depth with probability q, the least solution of q = (1 - p + p q)**PATHS.
+    """
+    total = 0.0
+    for agree in range(COORDINATES + 1):
+        p = agree / COORDINATES
+        ends = _fixed_point(lambda q: (1 - p + p * q) ** PATHS)
+        roots = [comb(agree, g) * comb(COORDINATES - agree, trees - g) / comb(COORDINATES, trees) for g in range(trees + 1)]
+        total += _binomial(COORDINATES, agree, similarity) * sum(r * ends**g for g, r in enumerate(roots))
+    return total
+
+
+@cache
 def rule_of(percent: int) -> Rule:
-    """The fewest trees and the highest cut that each lose at most ``MISS`` of the pairs at ``percent``."""
+    """The fewest trees and the highest cut that each lose at most ``MISS`` of the pairs at ``percent``.
+
+    Similarities too low for that take all coordinates as roots.
+    """
     s = percent / 100
-    trees = next(t for t in range(1, COORDINATES) if (1 - s) ** t <= MISS)
+    trees = next((t for t in range(1, COORDINATES) if miss_rate(s, t) <= MISS), COORDINATES)
     below, least = 0.0, 0
-    while (below := below + comb(COORDINATES, least) * s**least * (1 - s) ** (COORDINATES - least)) <= MISS:
+    while (below := below + _binomial(COORDINATES, least, s)) <= MISS:
         least += 1
     return Rule(percent, trees, least)
 
@@ -111,11 +142,20 @@ def _blocks(crowded: DataFrame) -> DataFrame:
     return met.withColumn("side", F.when(F.col("own") == F.col("other"), -1).otherwise((F.col("own") > F.col("other")).cast("int")))
 
 
+def _paths() -> list[Column]:
+    """A row's children of ``node``: minwise values at ``PATHS`` different coordinates that the node selects."""
+    first = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(COORDINATES))
+    apart = F.pmod(F.xxhash64("node", F.lit(2)), F.lit(COORDINATES // PATHS)) + 1
+    at = [F.pmod(first + apart * k, F.lit(COORDINATES)).cast("int") for k in range(PATHS)]
+    return [F.xxhash64("node", c, _value(F.col("signature"), c)) for c in at]
+
+
 def _leaves(members: DataFrame, rule: Rule) -> DataFrame:
-    """(node, rep, n, signature, tree, side) of all nodes that are compared exhaustively.
+    """(node, rep, n, signature, tree, side, branched) of all nodes that are compared exhaustively.
 
     ``members`` holds rep, n and signature.  ``side`` is -1, or 0 and 1 where only
-    rows of different sides are to be compared.  Two rows that can reach the least
+    rows of different sides are to be compared; ``branched`` has a bit per tree whose
+    root node of this row was sent down paths.  Two rows that can reach the least
     similarity have size classes at most one apart.
     """
     columns = ["node", "rep", "n", "signature", "tree", "side"]
@@ -128,33 +168,38 @@ def _leaves(members: DataFrame, rule: Rule) -> DataFrame:
     leaves = rows.where(F.col("size") <= NODE_LIMIT).select(*columns)
 
     block = BLOCK * NODE_LIMIT
-    for level in range(LEVELS):
+    branched = None
+    for _ in range(LEVELS):
         crowded = rows.where(F.col("size") > NODE_LIMIT)
-        many = crowded.where(F.col("size") > MANY_BLOCKS * block)
+        many = crowded.where(F.col("size") > block)
         if not many.take(1):
             break
-        order = np.random.default_rng(level).permutation(COORDINATES).tolist()
-        paths = [
-            F.xxhash64("node", F.lit(band), *[_value(F.col("signature"), F.lit(c)) for c in order[band :: rule.bands]])
-            for band in range(rule.bands)
-        ]
-        parts = many.select("node", "size", F.explode(F.array(*paths)).alias("path")).groupBy("node", "size", "path").agg(F.count(F.lit(1)).cast("double").alias("c"))
-        costs = parts.groupBy("node", "size").agg(F.sum(F.greatest(F.col("c"), F.col("c") * F.col("c") / block)).alias("cost"))
+        # the rows that blocks make of a child of c rows, against those that they make of the node
+        parts = many.select("node", "size", F.explode(F.array(*_paths())).alias("path")).groupBy("node", "size", "path").agg(F.count(F.lit(1)).cast("double").alias("c"))
+        cost = F.when(F.col("c") > 1, F.greatest(F.col("c"), F.col("c") * F.col("c") / block)).otherwise(0.0)
+        costs = parts.groupBy("node", "size").agg(F.sum(cost).alias("cost"))
         worth = stage(costs.where(F.col("cost") < F.col("size").cast("double") * F.col("size") / block).select("node"), "worth")
         leaves = leaves.unionByName(_blocks(crowded.join(worth, "node", "left_anti")).select(*columns))
-        banded = many.join(worth, "node", "left_semi").drop("size", "held").withColumn("node", F.explode(F.array(*paths)))
-        rows = stage(_counted(stage(banded, "banded")), "members")
+        below = many.join(worth, "node", "left_semi").drop("size", "held")
+        if branched is None:
+            branched = below.groupBy("rep").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("tree"))).alias("branched"))
+        rows = stage(_counted(stage(below.withColumn("node", F.explode(F.array(*_paths()))), "branches")), "members")
         leaves = leaves.unionByName(rows.where(F.col("size") <= NODE_LIMIT).select(*columns))
-    return leaves.unionByName(_blocks(rows.where(F.col("size") > NODE_LIMIT)).select(*columns))
+    leaves = leaves.unionByName(_blocks(rows.where(F.col("size") > NODE_LIMIT)).select(*columns))
+    if branched is None:
+        return leaves.withColumn("branched", F.lit(0).cast("long"))
+    return leaves.join(stage(branched, "branched"), "rep", "left").withColumn("branched", F.coalesce("branched", F.lit(0).cast("long")))
 
 
 def _candidates(c: dict[str, np.ndarray], rule: Rule) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row pairs (i < j) of equal nodes that can reach the least similarity, with the values they share.
 
     Rows come sorted by node; offset by offset, each row is held against the row
-    that stands so far behind it.  A pair counts only in the first tree it shares.
+    that stands so far behind it.  A pair that meets in an earlier tree's root counts
+    there only, unless that root was branched and the pair may have parted below it.
     """
     node, n, tree, side, values = c["node"], c["n"], c["tree"], c["side"], c["values"]
+    sure = (c["branched"][:, None] >> np.arange(rule.trees)) & 1 == 0
     left, right, shared = [], [], []
     at = np.arange(len(node))
     for k in range(1, len(node)):
@@ -169,7 +214,7 @@ def _candidates(c: dict[str, np.ndarray], rule: Rule) -> tuple[np.ndarray, np.nd
         same = (values[i] == values[j]).sum(1)
         likely = same >= rule.least_shared
         i, j, same = i[likely], j[likely], same[likely]
-        met = (values[i, : rule.trees] == values[j, : rule.trees]) & (np.arange(rule.trees)[None, :] < tree[i][:, None])
+        met = (values[i, : rule.trees] == values[j, : rule.trees]) & (np.arange(rule.trees)[None, :] < tree[i][:, None]) & sure[i]
         own = ~met.any(1)
         left.append(i[own])
         right.append(j[own])
@@ -180,7 +225,7 @@ def _candidates(c: dict[str, np.ndarray], rule: Rule) -> tuple[np.ndarray, np.nd
 
 
 def _columns(table: pa.Table) -> dict[str, np.ndarray]:
-    out = {c: table.column(c).to_numpy() for c in ("node", "rep", "n", "tree", "side")}
+    out = {c: table.column(c).to_numpy() for c in ("node", "rep", "n", "tree", "side", "branched")}
     out["values"] = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(table.num_rows, COORDINATES)
     return out
 
@@ -251,7 +296,7 @@ def _by_node(rows: DataFrame, work, schema: str) -> DataFrame:
     return dealt.mapInArrow(lambda batches: grouped_batches(batches, "node", work), schema)
 
 
-_LEAF = "node long, rep long, n long, signature binary, tree int, side int"
+_LEAF = "node long, rep long, n long, signature binary, tree int, side int, branched long"
 
 
 def near_duplicates(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
@@ -301,7 +346,7 @@ def _likely(rows: DataFrame, needed: DataFrame) -> DataFrame:
 def verified_links(docs: DataFrame, members: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     """Links (a, b) between representatives that connect every pair found similar; full sets are confirmed."""
     rule = rule_of(percent)
-    leaves = stage(_by_node(_leaves(members, rule), partial(_with_candidates, rule=rule), _LEAF), "leaves")
+    leaves = stage(_by_node(_leaves(members, rule).select("node", "rep", "n", "signature", "tree", "side", "branched"), partial(_with_candidates, rule=rule), _LEAF), "leaves")
     needed = stage(leaves.select(F.col("rep").alias("doc_id")).distinct(), "needed")
     texts = _likely(documents_of(docs), needed).join(needed, "doc_id", "left_semi")
 
@@ -315,7 +360,7 @@ def verified_links(docs: DataFrame, members: DataFrame, percent: int = SIMILARIT
 
     found = texts.mapInPandas(work, "rep long, shingles binary")
     full = leaves.join(found, "rep").where(F.length("shingles") == F.col("n") * 8)
-    return stage(_by_node(full.select("node", "rep", "n", "signature", "tree", "side", "shingles"), partial(_linked, rule=rule), "a long, b long"), "links")
+    return stage(_by_node(full.select("node", "rep", "n", "signature", "tree", "side", "branched", "shingles"), partial(_linked, rule=rule), "a long, b long"), "links")
 
 
 def without_near_copies(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:

@@ -4,6 +4,8 @@ import zlib
 from collections import defaultdict
 
 import duckdb
+import numpy as np
+import pandas as pd
 import pytest
 
 import brute
@@ -130,28 +132,71 @@ def test_near_stage_takes_80_percent(spark, sf_dir):
 
 
 def test_near_rule():
-    """At 80 a cut of 40 of 64 would lose 3.5e-4 of the pairs."""
-    assert near_dedup.rule_of(85)[1:] == (8, 38) and near_dedup.rule_of(80)[1:] == (10, 33)
-
-
-# a third of the words and more in common: blocks; a few: bands, which then make fewer rows
-@pytest.mark.parametrize("common, many", [(88, 32), (88, 0), (8, 0), (8, 1000)])
-def test_near_pairs_in_crowded_nodes(spark, monkeypatch, common, many):
+    """At 80 a cut of 40 of 64 would lose 3.5e-4 of the pairs; one tree less would lose more than allowed."""
+    for percent, least in ((85, 38), (80, 33)):
+        rule = near_dedup.rule_of(percent)
+        assert rule.least_shared == least
+        assert near_dedup.miss_rate(percent / 100, rule.trees) <= near_dedup.MISS < near_dedup.miss_rate(percent / 100, rule.trees - 1)
+
+
+@pytest.mark.parametrize("similarity, trees", [(0.85, 1), (0.85, 2), (0.7, 2)])
+def test_near_miss_rate(similarity, trees):
+    """The computed miss rate against trees branched step by step, 25 levels deep."""
+    rng = np.random.default_rng(int(similarity * 100) + trees)
+    runs, lost = 20_000, 0
+    for _ in range(runs):
+        agrees = rng.random(64) < similarity
+        met = False
+        for root in range(trees):
+            paths = int(agrees[root])
+            for _ in range(25):
+                # beyond 30 shared paths all of them hardly end any more
+                if not 0 < paths < 30:
+                    break
+                paths = int(agrees[rng.integers(0, 64, paths * near_dedup.PATHS)].sum())
+            met |= paths > 0
+        lost += not met
+    expected = near_dedup.miss_rate(similarity, trees)
+    assert abs(lost / runs - expected) < 5 * (expected / runs) ** 0.5 + 1e-3
+
+
+# a third of the words and more in common: blocks; a few: paths, which then make fewer rows
+@pytest.mark.parametrize("common, levels", [(88, 16), (60, 16), (8, 16), (8, 1), (8, 0)])
+def test_near_pairs_in_crowded_nodes(spark, monkeypatch, common, levels):
     """Pairs at just 85 percent (102 of 120 shingles) where every root node holds all rows, which share a passage."""
     monkeypatch.setattr(near_dedup, "NODE_LIMIT", 16)
-    monkeypatch.setattr(near_dedup, "MANY_BLOCKS", many, raising=False)
+    monkeypatch.setattr(near_dedup, "LEVELS", levels)
     rows = []
     for i in range(400):
         text = [f"c{k}" for k in range(common + 4)] + [f"u{i}x{k}" for k in range(111 - common)]
         rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(text[:106] + [f"v{i}x{k}" for k in range(9)]))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     signed = near_dedup.signatures(docs)
-    alike = "concat(X'" + "07" * 4 * near_dedup.rule_of(85).trees + "', substring(signature, 33, 1000))"
+    trees = near_dedup.rule_of(85).trees
+    alike = "concat(X'" + "07" * 4 * trees + f"', substring(signature, {4 * trees + 1}, 1000))"
     members = signed.selectExpr("doc_id AS rep", "n_shingles AS n", f"{alike} AS signature")
     found = {tuple(sorted(r)) for r in near_dedup.verified_links(docs, near_dedup.stage(members, "alike")).collect()}
     assert found == {(2 * i, 2 * i + 1) for i in range(400)}
 
 
+@pytest.mark.parametrize("common", [8, 60])
+def test_copies_of_a_row_in_crowded_nodes(spark, common):
+    """Where paths thin a crowded node out, a row of it is copied a few times however many rows there are."""
+    copies = {}
+    for size in (8_000, 32_000):
+        # rows whose signatures agree on a share of the values, and on all roots
+        rng = np.random.default_rng(common)
+        values = rng.integers(0, 2**32, (size, 64), dtype=np.uint32)
+        values[rng.random((size, 64)) < common / 200] = 7
+        values[:, : near_dedup.rule_of(85).trees] = 7
+        frame = pd.DataFrame({"rep": np.arange(size), "n": 100, "signature": [v.tobytes() for v in values]})
+        members = spark.createDataFrame(frame, "rep long, n long, signature binary")
+        leaves = near_dedup._leaves(members, near_dedup.rule_of(85)).where("tree = 0")
+        assert leaves.groupBy("node").count().agg({"count": "max"}).first()[0] <= 2 * near_dedup.BLOCK * near_dedup.NODE_LIMIT * 1.2
+        copies[size] = leaves.count() / size
+    assert copies[32_000] <= max(near_dedup.PATHS**4, 1.5 * copies[8_000])
+
+
 def test_packing_of_added_tokens(spark):
     """Strings of the file's added tokens get the ids that the file gives them."""
     from tokenizers import Tokenizer
