@@ -45,6 +45,10 @@ def test_classifier_on_held_out_rows(spark, sf_dir, name, parts, rest, least):
     marked = dict(duckdb.sql(f"SELECT doc_id, {column} FROM '{sf_dir}/labels.parquet'").fetchall())
     judged = [(marked[r.doc_id], r.predicted) for r in rows if r.held_out and r.doc_id in marked]
     assert sum(a == b for a, b in judged) >= least * len(judged)
+    # the rarer label, so that always answering the other one does not do
+    rare = min((0, 1), key=lambda k: sum(a == k for a, _ in judged))
+    caught = sum(a == b == rare for a, b in judged)
+    assert caught >= 0.9 * sum(a == rare for a, _ in judged) and caught >= 0.7 * sum(b == rare for _, b in judged)
 
 
 @pytest.mark.parametrize("batches, limit", [(2, 2000), (5, 3)])
