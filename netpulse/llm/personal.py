@@ -10,6 +10,8 @@ worked on by SQL functions, spans and their features are small rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -20,9 +22,8 @@ from netpulse.llm.common import stage
 from netpulse.session import ensure_checkpoint_dir
 
 KINDS = ("email", "ip", "card", "phone")
-# Proposals used to fit, at most; trees, their depth; least precision a threshold must reach on unseen rows.
-FIT_PROPOSALS = 20_000
-TREES, DEPTH = 20, 4
+# Trees, their depth, least bins of a feature; least precision a threshold must reach on unseen rows.
+TREES, DEPTH, BINS = 20, 4, 32
 LEAST_PRECISION = 0.98
 THRESHOLDS = (0.5, 0.6, 0.7, 0.8, 0.9, 0.95)
 
@@ -167,25 +168,33 @@ def _described(docs: DataFrame) -> DataFrame:
     return stage(rows.select("row_id", "doc_id", base.alias("base"), _proposals(F.col("text"), F.col("matches")).alias("proposals")), "personal")
 
 
-def fit(proposals: DataFrame, bound: int = FIT_PROPOSALS) -> tuple[GBTClassificationModel, dict[int, float]] | None:
-    """Trees and a threshold per kind from at most ``bound`` proposals, chosen by a hash of their features and place.
+def fit(proposals: DataFrame) -> tuple[GBTClassificationModel, dict[int, float]] | None:
+    """Trees and a threshold per kind from all proposals that the rules confirm or refute.
 
-    Only proposals that the rules confirm or refute take part.  Every fifth row is
-    kept from the trees and sets the thresholds; a kind for which no threshold reaches ``LEAST_PRECISION`` there, or with no such row, adds nothing.
+    Proposals with the same features and outcome become one weighted row.  Every fifth proposal, by
+    a hash of its features and place, is kept from the trees and sets the thresholds; a kind for which
+    no threshold reaches ``LEAST_PRECISION`` there, or with no such row, adds nothing.  MLlib looks for
+    split candidates in a sample of bins ** 2 rows: the bins are so many that this is all of them.
     None if the rows are all of one class.
     """
     ensure_checkpoint_dir(proposals.sparkSession)
-    h = F.xxhash64("doc_id", "start", "end", *FEATURES)
-    rows = proposals.where("confirmed IS NOT NULL").select(*FEATURES, F.col("confirmed").cast("double").alias("label"), h.alias("h")).orderBy("h").limit(bound)
-    rows = stage(VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows.withColumn("held", F.pmod("h", F.lit(5)) == 0)), "fit")
+    held = F.pmod(F.xxhash64("doc_id", "start", "end", *FEATURES), F.lit(5)) == 0
+    names = [*FEATURES, "label", "held"]
+    rows = proposals.where("confirmed IS NOT NULL").select(*FEATURES, F.col("confirmed").cast("double").alias("label"), held.alias("held"))
+    rows = rows.groupBy(*names).agg(F.count(F.lit(1)).cast("double").alias("weight")).orderBy(*names)
+    rows = stage(VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows), "fit")
     train, held = rows.where("NOT held"), rows.where("held")
-    low, high = train.agg(F.min("label"), F.max("label")).first()
+    low, high, distinct = train.agg(F.min("label"), F.max("label"), F.count(F.lit(1))).first()
     if low is None or low == high:
         return None
-    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=1, checkpointInterval=10, featuresCol="features", labelCol="label").fit(train.select("features", "label"))
-    judged = trees.transform(held).select("kind", "label", vector_to_array("probability")[1].alias("p"))
+    bins = max(BINS, math.isqrt(distinct) + 1)
+    trees = GBTClassifier(
+        maxIter=TREES, maxDepth=DEPTH, maxBins=bins, stepSize=0.2, seed=1, checkpointInterval=10, featuresCol="features", labelCol="label", weightCol="weight",
+    ).fit(train.select("features", "label", "weight"))
+    judged = trees.transform(held).select("kind", "label", "weight", vector_to_array("probability")[1].alias("p"))
     grid = judged.withColumn("t", F.explode(F.array(*[F.lit(t) for t in THRESHOLDS]))).where("p >= t")
-    good = grid.groupBy("kind", "t").agg(F.avg("label").alias("precision")).where(F.col("precision") >= LEAST_PRECISION)
+    precision = F.sum(F.col("label") * F.col("weight")) / F.sum("weight")
+    good = grid.groupBy("kind", "t").agg(precision.alias("precision")).where(F.col("precision") >= LEAST_PRECISION)
     return trees, {int(r["kind"]): r["t"] for r in good.groupBy("kind").agg(F.min("t").alias("t")).collect()}
 
 
