@@ -3,8 +3,9 @@
 Tree attributions follow Lundberg et al., "From local explanations to global
 understanding with explainable AI for trees" (2020), path-dependent form.  A
 leaf only involves the few features on its path, and each of them is either
-inside or outside its interval; so the attributions of a leaf are tabulated
-once for every in/out pattern, and a row costs one table lookup per leaf.
+inside or outside its interval; so the attributions of neighbouring leaves are
+tabulated once for every outcome of the splits on their paths, and a row costs
+one comparison per split and one table lookup per group of leaves.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from netpulse.session import ship_package
 
 PREFIX = "shap_"
 BASE = "shap_base"
+# Splits that decide one table's row, at most; a single leaf takes those of its path.
+GROUP_SPLITS = 8
 
 
 @lru_cache(maxsize=None)
@@ -50,32 +53,70 @@ def _shapley_table(value: float, ratios: np.ndarray) -> np.ndarray:
     return value * (member - ratios) * (contained @ share)
 
 
-def _leaf_tables(nodes: pd.DataFrame) -> tuple[float, list[tuple]]:
-    """Expected log-odds and, per leaf, (features, lower bounds, upper bounds, table)."""
-    leaves, base = [], 0.0
+def _leaves_below(by_id: dict, node, path: dict, splits: tuple) -> Iterator[tuple]:
+    """Leaves under ``node``: (value, {feature: cover ratio}, ((split's node, whether left), ...))."""
+    if node.left < 0:
+        yield node.value, path, splits
+        return
+    for child_id, goes_left in ((node.left, True), (node.right, False)):
+        child = by_id[child_id]
+        ratio = path.get(node.feature, 1.0) * child.cover / node.cover
+        yield from _leaves_below(by_id, child, {**path, node.feature: ratio}, (*splits, (node.node, goes_left)))
+
+
+def _tree_tables(nodes: pd.DataFrame, width: int) -> tuple[float, list[tuple]]:
+    """Expected log-odds and, per tree, (features, thresholds, groups).
+
+    The first two are the splits of the tree.  A group is leaves that lie together, as (the
+    splits on their paths, attributions [pattern, feature]); bit k of a pattern: the row
+    goes left at the group's k-th split.  Groups are as large as ``GROUP_SPLITS`` allows.
+    """
+    trees, base = [], 0.0
     for _, tree in nodes.groupby("tree"):
         by_id = {row.node: row for row in tree.itertuples()}
-        pending = [(by_id[0], {})]
+        order = {n: i for i, n in enumerate(sorted(n for n, row in by_id.items() if row.left >= 0))}
+        groups, pending = [], [(by_id[0], {}, ())]
         while pending:
-            node, path = pending.pop()
-            if node.left < 0:
-                features = sorted(path)
-                low, high, ratio = (np.array([path[f][i] for f in features]) for i in range(3))
-                value = node.value
-                base += value * float(np.prod(ratio))
-                if features and value != 0.0:
-                    leaves.append((np.array(features), low, high, _shapley_table(value, ratio)))
+            node, path, splits = pending.pop()
+            below = list(_leaves_below(by_id, node, path, splits))
+            used = sorted({order[at] for _, _, steps in below for at, _ in steps})
+            if len(used) > GROUP_SPLITS and node.left >= 0:
+                for child_id, goes_left in ((node.left, True), (node.right, False)):
+                    child = by_id[child_id]
+                    ratio = path.get(node.feature, 1.0) * child.cover / node.cover
+                    pending.append((child, {**path, node.feature: ratio}, (*splits, (node.node, goes_left))))
                 continue
-            for child_id, goes_left in ((node.left, True), (node.right, False)):
-                child = by_id[child_id]
-                low, high, ratio = path.get(node.feature, (-np.inf, np.inf, 1.0))
-                if goes_left:
-                    high = min(high, node.threshold)
-                else:
-                    low = max(low, node.threshold)
-                step = {node.feature: (low, high, ratio * child.cover / node.cover)}
-                pending.append((child, {**path, **step}))
-    return base, leaves
+            bits = (np.arange(1 << len(used))[:, None] >> np.arange(len(used))) & 1 == 1
+            table = np.zeros((len(bits), width))
+            for value, ratios, steps in below:
+                features = sorted(ratios)
+                ratio = np.array([ratios[f] for f in features])
+                base += value * float(np.prod(ratio))
+                if not features or value == 0.0:
+                    continue
+                pattern = np.zeros(len(bits), np.int64)
+                for k, f in enumerate(features):
+                    own = [bits[:, used.index(order[at])] == left for at, left in steps if by_id[at].feature == f]
+                    pattern += np.logical_and.reduce(own).astype(np.int64) << k
+                table[:, features] += _shapley_table(value, ratio)[pattern]
+            if used:
+                groups.append((used, table))
+        inner = [by_id[n] for n in order]
+        trees.append(([int(n.feature) for n in inner], [float(n.threshold) for n in inner], groups))
+    return base, trees
+
+
+def _attributed(columns: np.ndarray, trees: list[tuple]) -> np.ndarray:
+    """Attributions [row, feature] of rows (a row of ``columns`` holds one feature)."""
+    total = np.zeros(columns.shape[::-1])
+    for features, thresholds, groups in trees:
+        left = [(columns[f] <= t).view(np.uint8) for f, t in zip(features, thresholds)]
+        for used, table in groups:
+            pattern = np.zeros(columns.shape[1], np.uint8 if len(used) <= 8 else np.int64)
+            for k, split in enumerate(used):
+                pattern += left[split] * pattern.dtype.type(1 << k)
+            total += table.take(pattern, axis=0)
+    return total
 
 
 def tree_shap(model: BoostedTrees, df: DataFrame) -> DataFrame:
@@ -87,22 +128,16 @@ def tree_shap(model: BoostedTrees, df: DataFrame) -> DataFrame:
     """
     features = model.features
     ship_package(df.sparkSession)
-    # Bounded by the model's size: trees * 2 ** (depth + 1) nodes.
-    base, leaves = _leaf_tables(model.nodes())
+    # Bounded by the model's size: about trees * 2 ** depth / 4 tables of 2 ** GROUP_SPLITS rows.
+    base, trees = _tree_tables(model.nodes(), len(features))
     base += model.base
-    shared = df.sparkSession.sparkContext.broadcast(leaves)
-    width = len(features)
+    shared = df.sparkSession.sparkContext.broadcast(trees)
 
     @F.pandas_udf("array<double>")
     def attributions(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for columns in batches:
-            points = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-            result = np.zeros((len(points), width))
-            for used, low, high, table in shared.value:
-                values = points[:, used]
-                pattern = ((values > low) & (values <= high)) @ (1 << np.arange(len(used)))
-                result[:, used] += table[pattern]
-            yield pd.Series(list(result))
+            points = np.stack([c.to_numpy(dtype=float) for c in columns])
+            yield pd.Series(list(_attributed(points, shared.value)))
 
     explained = df.withColumn("__shap", attributions(*[F.col(c).cast("double") for c in features]))
     return explained.select(

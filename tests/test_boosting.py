@@ -120,3 +120,32 @@ def test_one_class_and_no_rows(rows):
     assert single.log_odds(np.zeros((1, 5)))[0] > 0
     empty = fit(rows.limit(0), trees=2)
     assert empty.log_odds(np.zeros((1, 5))).tolist() == [0.0]
+
+
+def test_the_driver_gets_no_histograms(rows, monkeypatch):
+    """Of every level it gets six numbers per (node, feature), however many tasks add up the bins."""
+    from pyspark import RDD
+
+    sizes, real = [], RDD.collect
+
+    def collect(rdd):
+        got = real(rdd)
+        sizes.append(sum(value.size for _, value in got))
+        return got
+
+    def whole(*_):
+        raise AssertionError("histograms merged into the driver")
+
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(RDD, "collect", collect)
+    monkeypatch.setattr(RDD, "treeReduce", whole)
+    fit(rows.repartition(6), trees=2, feature_fraction=1.0)
+    assert 2 <= len(sizes) <= 2 * 3 and max(sizes) <= 4 * len(FEATURES) * 6
+
+
+def test_nodes_by_bytes_equal_plain_lookups(rows):
+    """Both ways to find a row's node, the plain one for trees of more than 255 nodes."""
+    codes = np.random.default_rng(2).integers(0, 256, (5, boosting.CHUNK_ROWS + 7), dtype=np.uint8)
+    for tree in fit(rows, depth=4).trees:
+        tree.cut[tree.feature >= 0] = np.arange((tree.feature >= 0).sum()) * 16 + 5
+        assert (boosting.nodes_of(codes, tree, 4) == tree.leaves(codes, tree.cut, 4)).all()

@@ -201,3 +201,19 @@ def test_sample_cap(spark):
 def test_average_path():
     assert list(anomaly.average_path([0, 1, 2])) == [0, 0, 1]
     assert float(anomaly.average_path(256)) == pytest.approx(10.2448, abs=1e-3)
+
+
+@pytest.mark.parametrize("splits", [1, 3, 8])
+def test_attributions_do_not_depend_on_the_groups_of_leaves(boosted, monkeypatch, splits):
+    """Groups of one leaf up to whole trees give the same; looked up per group, not per leaf."""
+    points = np.random.default_rng(5).normal(size=(len(FEATURES), 200))
+    nodes = boosted.nodes()
+    monkeypatch.setattr(explain, "GROUP_SPLITS", splits)
+    base, trees = explain._tree_tables(nodes, len(FEATURES))
+    found = explain._attributed(points, trees)
+    assert found.sum(axis=1) + base + boosted.base == pytest.approx(boosted.log_odds(points.T))
+    monkeypatch.setattr(explain, "GROUP_SPLITS", 0)
+    plain_base, plain = explain._tree_tables(nodes, len(FEATURES))
+    assert base == pytest.approx(plain_base) and found == pytest.approx(explain._attributed(points, plain))
+    leaves, groups = (nodes["left"] < 0).sum(), sum(len(g) for _, _, g in trees)
+    assert sum(len(g) for _, _, g in plain) == leaves and (splits < 8 or groups == len(boosted.trees))
