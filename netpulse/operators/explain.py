@@ -110,7 +110,7 @@ def _attributed(columns: np.ndarray, trees: list[tuple]) -> np.ndarray:
     """Attributions [row, feature] of rows (a row of ``columns`` holds one feature)."""
     total = np.zeros(columns.shape[::-1])
     for features, thresholds, groups in trees:
-        left = [(columns[f] <= t).view(np.uint8) for f, t in zip(features, thresholds)]
+        left = [(~(columns[f] > t)).view(np.uint8) for f, t in zip(features, thresholds)]
         for used, table in groups:
             pattern = np.zeros(columns.shape[1], np.uint8 if len(used) <= 8 else np.int64)
             for k, split in enumerate(used):

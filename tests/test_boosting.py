@@ -130,7 +130,8 @@ def test_the_driver_gets_no_histograms(rows, monkeypatch):
 
     def collect(rdd):
         got = real(rdd)
-        sizes.append(sum(value.size for _, value in got))
+        if got and isinstance(got[0], tuple):  # not the counts of blocks that number them
+            sizes.append(sum(value.size for _, value in got))
         return got
 
     def whole(*_):
