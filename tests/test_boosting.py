@@ -144,6 +144,23 @@ def test_the_driver_gets_no_histograms(rows, monkeypatch):
     assert 2 <= len(sizes) <= 2 * 3 and max(sizes) <= 4 * len(FEATURES) * 6
 
 
+def test_levels_neither_decode_blocks_nor_start_needless_tasks(rows, monkeypatch):
+    """Blocks are kept as bytes, and the sums of six tasks meet in one; the trees are those of a single task."""
+    from pyspark import RDD
+
+    kept, met, persist, reduce = [], [], RDD.persist, RDD.reduceByKey
+    monkeypatch.setattr(RDD, "persist", lambda rdd, level: kept.append(level) or persist(rdd, level))
+    monkeypatch.setattr(RDD, "reduceByKey", lambda rdd, add, n: met.append((rdd.getNumPartitions(), n)) or reduce(rdd, add, n))
+    single = fit(rows.repartition(1), trees=2).nodes()
+    assert not met and len(kept) == 3 and all(level.deserialized and level.useDisk for level in kept)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(boosting, "TASK_BLOCKS", 2)
+    assert fit(rows.repartition(6), trees=2).nodes().equals(single)
+    assert len(met) == 6 and all(tasks > 1 and n == 1 for tasks, n in met)
+    monkeypatch.setattr(boosting, "REDUCE_FROM", 1)
+    assert fit(rows.repartition(6), trees=2).nodes().equals(single) and met[-1][1] == min(met[-1][0], 4)
+
+
 def test_nodes_by_bytes_equal_plain_lookups(rows):
     """Both ways to find a row's node, the plain one for trees of more than 255 nodes."""
     codes = np.random.default_rng(2).integers(0, 256, (5, boosting.CHUNK_ROWS + 7), dtype=np.uint8)
